@@ -13,17 +13,17 @@ from panelwave.functions.numeric import close_to
 def orphans(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
     """Keys of the left table, with their row counts, that the right one lacks."""
     counted = left.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return counted.join(right.select(F.col(right_key or key).alias(key)), key, "left_anti")
+    return counted.join(right.select(F.col(right_key or key).alias(key)).distinct(), key, "left_anti")
 
 
 def overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Distinct keys present in both tables."""
-    return left.select(key).intersect(right.select(key))
+    """Distinct keys present in both tables; copies collapse before they are shuffled."""
+    return left.select(key).distinct().intersect(right.select(key).distinct())
 
 
 def only_in(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct rows of the left table that the right one lacks."""
-    return left.select(*columns).subtract(right.select(*columns))
+    return left.select(*columns).distinct().subtract(right.select(*columns).distinct())
 
 
 def members(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
