@@ -49,28 +49,28 @@ def with_residuals(df: DataFrame, target: str, models: Mapping[str, str]) -> Dat
 def metrics(df: DataFrame, target: str, models: Mapping[str, str], by: Sequence[str] = ()) -> DataFrame:
     """n, MAE, RMSE, R2, mean error and percent under-estimated per model, in one pass."""
     sums: list[Column] = []
-    for m, p in models.items():
+    for i, p in enumerate(models.values()):
         e = residual(target, p)
         sums += [
-            F.count(e).alias(f"_n_{m}"),
-            F.avg(F.abs(e)).alias(f"_a_{m}"),
-            F.avg(e * e).alias(f"_s_{m}"),
-            F.avg(e).alias(f"_e_{m}"),
-            F.count_if(e > 0).alias(f"_u_{m}"),
-            F.var_pop(F.when(e.isNotNull(), F.col(target))).alias(f"_v_{m}"),
+            F.count(e).alias(f"_n_{i}"),
+            F.avg(F.abs(e)).alias(f"_a_{i}"),
+            F.avg(e * e).alias(f"_s_{i}"),
+            F.avg(e).alias(f"_e_{i}"),
+            F.count_if(e > 0).alias(f"_u_{i}"),
+            F.var_pop(F.when(e.isNotNull(), F.col(target))).alias(f"_v_{i}"),
         ]
     wide = df.groupBy(*by).agg(*sums)
     structs = [
         struct(
             model=m,
-            n=F.col(f"_n_{m}"),
-            mae=F.col(f"_a_{m}"),
-            rmse=F.sqrt(F.col(f"_s_{m}")),
-            r2=F.lit(1.0) - ratio(F.col(f"_s_{m}"), F.col(f"_v_{m}")),
-            mean_error=F.col(f"_e_{m}"),
-            pct_under=percent(F.col(f"_u_{m}"), F.col(f"_n_{m}")),
+            n=F.col(f"_n_{i}"),
+            mae=F.col(f"_a_{i}"),
+            rmse=F.sqrt(F.col(f"_s_{i}")),
+            r2=F.lit(1.0) - ratio(F.col(f"_s_{i}"), F.col(f"_v_{i}")),
+            mean_error=F.col(f"_e_{i}"),
+            pct_under=percent(F.col(f"_u_{i}"), F.col(f"_n_{i}")),
         )
-        for m in models
+        for i, m in enumerate(models)
     ]
     return rows_from(wide, by, structs)
 
@@ -97,14 +97,14 @@ def error_table(df: DataFrame, target: str, models: Mapping[str, str], groups: S
     of the grouping columns; only that small table is expanded to the groupings.
     """
     sums: dict[str, Column] = {"n": F.count(F.lit(1)), "y": F.sum(target)}
-    for m, p in models.items():
+    for i, p in enumerate(models.values()):
         e = residual(target, p)
         sums |= {
-            f"abs_{m}": F.sum(F.abs(e)),
-            f"err_{m}": F.sum(e),
-            f"sq_{m}": F.sum(e * e),
-            f"pred_{m}": F.sum(p),
-            f"under_{m}": F.count_if(e > 0),
+            f"abs_{i}": F.sum(F.abs(e)),
+            f"err_{i}": F.sum(e),
+            f"sq_{i}": F.sum(e * e),
+            f"pred_{i}": F.sum(p),
+            f"under_{i}": F.count_if(e > 0),
         }
     base = df.groupBy(*groups).agg(*[c.alias(n) for n, c in sums.items()])
     columns = [F.col(g) for g in groups]
@@ -115,21 +115,21 @@ def error_table(df: DataFrame, target: str, models: Mapping[str, str], groups: S
     full = 2 ** len(groups) - 1
     which = F.when(F.col("_id") == full, F.lit("overall"))
     label = F.when(F.col("_id") == full, F.lit("all"))
-    for i, g in enumerate(groups):
-        own = F.col("_id") == full - 2 ** (len(groups) - 1 - i)
+    for at, g in enumerate(groups):
+        own = F.col("_id") == full - 2 ** (len(groups) - 1 - at)
         which = which.when(own, F.lit(g))
         label = label.when(own, F.coalesce(F.col(g).cast("string"), F.lit(UNKNOWN)))
     n = F.col("n")
     structs = [
         struct(
             model=m,
-            mae=ratio(F.col(f"abs_{m}"), n),
-            mean_error=ratio(F.col(f"err_{m}"), n),
-            rmse=F.sqrt(ratio(F.col(f"sq_{m}"), n)),
-            mean_prediction=ratio(F.col(f"pred_{m}"), n),
-            pct_under=percent(F.col(f"under_{m}"), n),
+            mae=ratio(F.col(f"abs_{i}"), n),
+            mean_error=ratio(F.col(f"err_{i}"), n),
+            rmse=F.sqrt(ratio(F.col(f"sq_{i}"), n)),
+            mean_prediction=ratio(F.col(f"pred_{i}"), n),
+            pct_under=percent(F.col(f"under_{i}"), n),
         )
-        for m in models
+        for i, m in enumerate(models)
     ]
     named = rolled.select(
         which.alias("grouping"), label.alias("label"), n, ratio(F.col("y"), n).alias("mean_actual"), "*"
@@ -157,30 +157,30 @@ def high_band(
     top = F.col(band_column) == band_names(list(levels))[-1]
     rest = F.col(band_column) != band_names(list(levels))[-1]
     sums: list[Column] = [F.count_if(top).alias("_n"), F.avg(F.when(top, F.col(target))).alias("_y")]
-    for m, p in models.items():
+    for i, p in enumerate(models.values()):
         e = residual(target, p)
         sums += [
-            F.avg(F.when(top, e)).alias(f"_e_{m}"),
-            F.avg(F.when(top, F.abs(e))).alias(f"_a_{m}"),
-            F.avg(F.when(top, F.col(p))).alias(f"_p_{m}"),
-            F.count_if(top & (e > 0)).alias(f"_u_{m}"),
-            F.avg(F.when(rest, e)).alias(f"_r_{m}"),
-            F.corr(F.col(target), e).alias(f"_c_{m}"),
+            F.avg(F.when(top, e)).alias(f"_e_{i}"),
+            F.avg(F.when(top, F.abs(e))).alias(f"_a_{i}"),
+            F.avg(F.when(top, F.col(p))).alias(f"_p_{i}"),
+            F.count_if(top & (e > 0)).alias(f"_u_{i}"),
+            F.avg(F.when(rest, e)).alias(f"_r_{i}"),
+            F.corr(F.col(target), e).alias(f"_c_{i}"),
         ]
     structs = []
-    for m in models:
-        under = percent(F.col(f"_u_{m}"), F.col("_n"))
+    for i, m in enumerate(models):
+        under = percent(F.col(f"_u_{i}"), F.col("_n"))
         structs.append(
             struct(
                 model=m,
                 n_high=F.col("_n"),
-                mean_error_high=F.col(f"_e_{m}"),
+                mean_error_high=F.col(f"_e_{i}"),
                 pct_under_high=under,
-                mae_high=F.col(f"_a_{m}"),
-                predicted_over_actual=ratio(F.col(f"_p_{m}"), F.col("_y")),
-                mean_error_rest=F.col(f"_r_{m}"),
-                corr_target_residual=finite_or_null(F.col(f"_c_{m}")),
-                systematic_under=(F.col(f"_e_{m}") > 0) & (under > 50.0),
+                mae_high=F.col(f"_a_{i}"),
+                predicted_over_actual=ratio(F.col(f"_p_{i}"), F.col("_y")),
+                mean_error_rest=F.col(f"_r_{i}"),
+                corr_target_residual=finite_or_null(F.col(f"_c_{i}")),
+                systematic_under=(F.col(f"_e_{i}") > 0) & (under > 50.0),
             )
         )
     return rows_from(df.agg(*sums), [], structs)

@@ -37,21 +37,50 @@ CASELESS = "(?iuU)"
 UNICODE = "(?U)"
 
 
-def _match_starts(hits: Column, pieces: Column) -> Column:
-    """Zero-based start of every match from the pieces between the matches."""
-    lengths = F.zip_with(
-        F.slice(pieces, 1, F.size(hits)), hits, lambda piece, hit: F.struct(F.length(piece).alias("p"), F.length(hit).alias("h"))
-    )
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-    return F.aggregate(
-        lengths,
-        zero,
-        lambda acc, x: F.struct(
-            (acc["at"] + x["p"] + x["h"]).alias("at"),
-            F.array_append(acc["starts"], acc["at"] + x["p"]).alias("starts"),
-        ),
-        lambda acc: acc["starts"],
+def _after_last_break(text: Column, carried: Column) -> Column:
+    """Text of the sentence still open after ``text``, given what was open before it."""
+    tail = F.substring_index(F.translate(text, ";\n", ".."), ".", -1)
+    return F.when(text.rlike("[.;\n]"), tail).otherwise(F.concat(carried, text))
+
+
+def _leads(pieces: Column, hits: Column, negated: str, width: int) -> Column:
+    """Per match: start, preceding context and negation, in one sweep over the pieces."""
+    steps = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.struct(p.alias("p"), h.alias("h")))
+    none = F.array().cast("array<struct<start:int,phrase:string,before:string,negated:boolean>>")
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("seen"), F.lit("").alias("open"), none.alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["p"])
+        seen = F.right(F.concat(acc["seen"], x["p"]), F.lit(width))
+        sentence = _after_last_break(x["p"], acc["open"])
+        match = F.struct(
+            start.alias("start"), x["h"].alias("phrase"), seen.alias("before"), sentence.rlike(negated).alias("negated")
+        )
+        return F.struct(
+            (start + F.length(x["h"])).alias("at"),
+            F.right(F.concat(seen, x["h"]), F.lit(width)).alias("seen"),
+            _after_last_break(x["h"], sentence).alias("open"),
+            F.array_append(acc["out"], match).alias("out"),
+        )
+
+    return F.aggregate(steps, zero, step, lambda acc: acc["out"])
+
+
+def _trails(pieces: Column, hits: Column, width: int) -> Column:
+    """Per match: the characters that follow it, swept from the end of the text."""
+    steps = F.reverse(
+        F.zip_with(F.slice(pieces, 2, F.size(hits)), hits, lambda p, h: F.struct(p.alias("p"), h.alias("h")))
     )
+    zero = F.struct(F.lit("").alias("next"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        follows = F.left(F.concat(x["p"], acc["next"]), F.lit(width))
+        return F.struct(
+            F.left(F.concat(x["h"], follows), F.lit(width)).alias("next"),
+            F.array_append(acc["out"], follows).alias("out"),
+        )
+
+    return F.reverse(F.aggregate(steps, zero, step, lambda acc: acc["out"]))
 
 
 def claims(
@@ -66,35 +95,35 @@ def claims(
     """``(key, pattern, start, phrase, context)`` of every claim that is not negated.
 
     A claim is negated if a negator stands between the last ``.``, ``;`` or line
-    end and the claim. Everything is one projection per row: the text never
-    leaves its task and only findings are exploded.
+    end and the claim. Everything is one projection per row and linear in the
+    text: it never leaves its task and only findings are exploded.
     """
     body = F.col(text)
     negated = rf"{CASELESS}\b({'|'.join(negators)})\b"
-    found = []
-    for pattern in patterns:
-        expr = CASELESS + pattern
-        hits = F.regexp_extract_all(body, F.lit(expr), 0)
-        starts = _match_starts(hits, F.split(body, expr, -1))
-
-        def finding(start: Column, hit: Column, pattern: str = pattern) -> Column:
-            head = F.substring_index(
-                F.translate(F.substring(body, F.lit(1), start), ";\n", ".."), ".", -1
-            )
-            first = F.greatest(start - before, F.lit(0))
-            context = F.substring(body, first + 1, start + F.length(hit) + after - first)
-            return F.struct(
-                F.lit(pattern).alias("pattern"),
-                start.alias("start"),
-                hit.alias("phrase"),
-                F.translate(context, "\n", " ").alias("context"),
-                head.rlike(negated).alias("negated"),
-            )
-
-        found.append(F.zip_with(starts, hits, finding))
+
+    cut = [
+        struct(
+            pattern=p,
+            hits=F.regexp_extract_all(body, F.lit(CASELESS + p), 0),
+            pieces=F.split(body, CASELESS + p, -1),
+        )
+        for p in patterns
+    ]
     mentioning = df.where(body.rlike(CASELESS + "|".join(f"(?:{p})" for p in patterns)))
-    rows = mentioning.select(key, F.inline(F.flatten(F.array(*found))))
-    return rows.where(~F.col("negated")).drop("negated")
+    # The explode keeps the regex results materialised: each text is matched once per pattern.
+    matched = mentioning.select(key, F.inline(F.array(*cut))).where(F.size("hits") > 0)
+    hits, pieces = F.col("hits"), F.col("pieces")
+    found = F.zip_with(
+        _leads(pieces, hits, negated, before),
+        _trails(pieces, hits, after),
+        lambda lead, trail: F.struct(
+            lead["start"].alias("start"),
+            lead["phrase"].alias("phrase"),
+            F.translate(F.concat(lead["before"], lead["phrase"], trail), "\n", " ").alias("context"),
+            lead["negated"].alias("negated"),
+        ),
+    )
+    return matched.select(key, "pattern", F.inline(found)).where(~F.col("negated")).drop("negated")
 
 
 def pattern_counts(df: DataFrame, key: str, text: str, rules: Mapping[str, str] = HYGIENE_RULES) -> DataFrame:
