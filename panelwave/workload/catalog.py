@@ -1,6 +1,6 @@
 """All registered queries; importing the modules fills the registry."""
 
-from panelwave.workload import audits, ingest  # noqa: F401
+from panelwave.workload import audits, ingest, profiles  # noqa: F401
 from panelwave.workload.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
