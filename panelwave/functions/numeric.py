@@ -9,7 +9,8 @@ INF = float("inf")
 
 
 def finite_or_null(value: Column) -> Column:
-    return F.when(~F.isnan(value) & (F.abs(value) < F.lit(INF)), value)
+    """NaN sorts above every number in Spark, so one comparison rules out NaN and both infinities."""
+    return F.when(F.abs(value) < F.lit(INF), value)
 
 
 def finite_double(col: Column) -> Column:
@@ -18,8 +19,11 @@ def finite_double(col: Column) -> Column:
 
 
 def integral_code(col: Column, data_type: str) -> Column:
-    """Whole number of the given type; fractions and overflow become NULL."""
-    value = finite_double(col)
+    """Whole number of the given type; fractions, overflow, NaN and infinities become NULL.
+
+    ``floor`` gives a bigint, so no infinity or NaN equals its own floor.
+    """
+    value = col.try_cast("double")
     return F.when(value == F.floor(value), value.try_cast(data_type))
 
 

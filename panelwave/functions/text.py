@@ -15,6 +15,7 @@ SENTINELS = (
 # Number formats found in period files.
 INTEGRAL_TEXT = r"^([+-]?\d+)\.0+$"
 THOUSANDS_TEXT = r"^[+-]?\d{1,3}(,\d{3})+(\.\d+)?$"
+CLEAN_NUMBER = r"^[+-]?\d+(\.\d*[1-9])?\z"
 PLAIN_NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)$"
 PERIOD_TEXT = r"20\d{2}T[1-4]"
 
@@ -29,10 +30,14 @@ def strip(col: Column) -> Column:
 
 
 def normalize_cell(col: Column) -> Column:
-    """Trimmed text; sentinels become NULL, ``1,234.5`` and ``12.0`` plain numbers."""
+    """Trimmed text; sentinels become NULL, ``1,234.5`` and ``12.0`` plain numbers.
+
+    Most cells are numbers that need no cleaning; one match lets them pass.
+    """
     text = strip(col)
-    plain = F.when(text.rlike(THOUSANDS_TEXT), F.regexp_replace(text, ",", "")).otherwise(text)
-    return F.when(~F.lower(text).isin(*SENTINELS), F.regexp_replace(plain, INTEGRAL_TEXT, "$1"))
+    number = F.when(text.rlike(THOUSANDS_TEXT), F.translate(text, ",", "")).otherwise(text)
+    cleaned = F.when(~F.lower(text).isin(*SENTINELS), F.regexp_replace(number, INTEGRAL_TEXT, "$1"))
+    return F.when(col.rlike(CLEAN_NUMBER), col).otherwise(cleaned)
 
 
 def decimal_comma(col: Column) -> Column:

@@ -17,8 +17,13 @@ NULL_BUCKET = "NULO"
 
 
 def type_columns(df: DataFrame, types: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
-    """Explicit typed projection of text columns; nothing is inferred."""
-    return df.select(*keep, *[typed(F.col(c), t).alias(c) for c, t in types.items()])
+    """Explicit typed projection of text columns; nothing is inferred.
+
+    The typed columns leave through a one-element generator. A filter on them
+    stays above it, so no predicate repeats the cleaning and casting of a cell.
+    """
+    cells = F.struct(*[typed(F.col(c), t).alias(c) for c, t in types.items()])
+    return df.select(*keep, F.inline(F.array(cells)))
 
 
 def missing_invalid(df: DataFrame, types: Mapping[str, str], by: Sequence[str] = ()) -> DataFrame:

@@ -15,6 +15,7 @@ from panelwave.functions.codes import code_label, record_id
 from panelwave.functions.text import normalize_cell
 from panelwave.operators import checks as ck
 from panelwave.operators import population, quality
+from panelwave.sources.sinks import read_stage, write_periods
 from panelwave.spec import PanelSpec
 
 
@@ -46,6 +47,19 @@ class Foundation:
     def eligible(self) -> DataFrame:
         return population.eligible(self.typed, self.spec.rules).select(*eligible_projection(self.spec))
 
+    def stored(self, path: str, row: str) -> Foundation:
+        """The typed stage written by period; later audits read it and parse no text again."""
+        spark = self.typed.sparkSession
+        write_periods(self.typed, path, self.spec.period, row)
+        stage = read_stage(spark, path, *self.typed.columns)
+        return Foundation(self.spec, self.normalized, stage)
+
+    def stored_eligible(self, path: str, row: str) -> DataFrame:
+        """The eligible panel written by period: what every later phase reads."""
+        eligible = self.eligible
+        write_periods(eligible, path, self.spec.period, row)
+        return read_stage(eligible.sparkSession, path, *eligible.columns)
+
     def missing(self) -> DataFrame:
         return quality.missing_invalid(self.normalized, self.spec.types, [self.spec.period])
 

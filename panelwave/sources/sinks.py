@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 def write_periods(df: DataFrame, path: str, period: str, row: str) -> None:
     """Partitioned by period, replacing only the periods that are in ``df``.
 
-    The range partitioning is on ``(period, row)``: a period that holds most of
-    the rows is written by many tasks, and most tasks write one file.
+    Rows are brought together by period in one shuffle. The rebalance lets
+    adaptive execution split a period that holds most of the rows over many
+    writers and merge small ones, by their actual sizes.
     """
     (
-        df.repartitionByRange(period, row)
+        df.hint("rebalance", period)
         .sortWithinPartitions(period, row)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

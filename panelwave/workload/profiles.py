@@ -22,8 +22,8 @@ def summary_sql(source: str, columns: list[str], by: str = "", places: int = 4)
     for c in columns:
         parts.append(f"""SELECT {lead}'{c}' AS variable, count({c}) AS n, round(avg({c}), {places}) AS mean,
  round(stddev_samp({c}), {places}) AS sd, round(min({c}), {places}) AS min, round(max({c}), {places}) AS max,
- round((avg({c}*{c}*{c}) - 3*avg({c})*avg({c}*{c}) + 2*avg({c})*avg({c})*avg({c})) / nullif(power(var_pop({c}), 1.5), 0), 3) AS skewness,
- round(kurtosis_pop({c}), 3) AS kurtosis,
+ round((avg({c}*{c}*{c}) - 3*avg({c})*avg({c}*{c}) + 2*avg({c})*avg({c})*avg({c})) / nullif(power(var_pop({c}), 1.5), 0), 3) + 0.0 AS skewness,
+ round(kurtosis_pop({c}), 3) + 0.0 AS kurtosis,
  round(quantile_cont({c}, 0.25), {places}) AS p25, round(quantile_cont({c}, 0.5), {places}) AS p50,
  round(quantile_cont({c}, 0.75), {places}) AS p75, round(quantile_cont({c}, 0.95), {places}) AS p95 FROM {source} {group}""")
     return " UNION ALL ".join(parts)
