@@ -49,6 +49,13 @@ def close_to(left: Column, right: Column, tolerance: float = 1e-6) -> Column:
     return F.abs(left - right) <= F.lit(tolerance) * scale
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson aggregate over complete pairs; NULL (not an ANSI error) if a side is constant."""
+    both = x.isNotNull() & y.isNotNull()
+    sd_x, sd_y = F.stddev_pop(F.when(both, x)), F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), sd_x * sd_y)
+
+
 def positive_log(col: Column) -> Column:
     return F.when(col > 0, F.log(col))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwave.functions.numeric import finite_or_null
+from panelwave.functions.numeric import correlation
 from panelwave.operators.shape import rows_from, struct
 
 
@@ -21,7 +21,7 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     wide = complete.agg(
         F.count(F.lit(1)).alias("_n"),
-        *[finite_or_null(F.corr(a, b)).alias(f"_{a}_{b}") for a, b in pairs],
+        *[correlation(F.col(a), F.col(b)).alias(f"_{a}_{b}") for a, b in pairs],
     )
     at = {c: i for i, c in enumerate(columns)}
     structs = [

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwave.functions.codes import band, band_names, code_order
-from panelwave.functions.numeric import finite_or_null, percent, ratio
+from panelwave.functions.numeric import correlation, percent, ratio
 from panelwave.operators.quantiles import exact_thresholds
 from panelwave.operators.shape import one_row, rows_from, struct
 from panelwave.spec import UNKNOWN
@@ -165,7 +165,7 @@ def high_band(
             F.avg(F.when(top, F.col(p))).alias(f"_p_{i}"),
             F.count_if(top & (e > 0)).alias(f"_u_{i}"),
             F.avg(F.when(rest, e)).alias(f"_r_{i}"),
-            F.corr(F.col(target), e).alias(f"_c_{i}"),
+            correlation(F.col(target), e).alias(f"_c_{i}"),
         ]
     structs = []
     for i, m in enumerate(models):
@@ -179,7 +179,7 @@ def high_band(
                 mae_high=F.col(f"_a_{i}"),
                 predicted_over_actual=ratio(F.col(f"_p_{i}"), F.col("_y")),
                 mean_error_rest=F.col(f"_r_{i}"),
-                corr_target_residual=finite_or_null(F.col(f"_c_{i}")),
+                corr_target_residual=F.col(f"_c_{i}"),
                 systematic_under=(F.col(f"_e_{i}") > 0) & (under > 50.0),
             )
         )
