@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame
 
 from panelwave.operators import checks as ck
 from panelwave.operators import evaluate, models
+from panelwave.sources.sinks import write_stage
 from panelwave.spec import PanelSpec
 
 
@@ -37,6 +38,10 @@ class FinalTest:
     fitted: dict[str, Model]
     features: PipelineModel
 
+    def stored(self, path: str) -> FinalTest:
+        """The scored rows written once; every report then reads them and no model runs again."""
+        return replace(self, scored=write_stage(self.scored, path))
+
     def metrics(self) -> DataFrame:
         return evaluate.metrics(self.scored, self.spec.target, self.models)
 

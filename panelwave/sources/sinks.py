@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,15 +43,24 @@ def save_model(model, path: str) -> str:
     return path
 
 
-def write_verified(df: DataFrame, path: str, key: Sequence[str]) -> DataFrame:
-    """Write scored rows, then report written against re-read counts."""
-    spark = df.sparkSession
+def write_stage(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame and continue from the files: later reports do not compute it again."""
     df.write.mode("overwrite").parquet(path)
-    stored = spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def write_verified(df: DataFrame, path: str, key: Sequence[str]) -> DataFrame:
+    """Write scored rows, then compare the re-read count with the rows that were written.
+
+    The written rows are counted by an observation during the write itself.
+    """
+    written = Observation("written")
+    stored = write_stage(df.observe(written, F.count(F.lit(1)).alias("rows")), path)
     return stored.select(*key).agg(
+        F.lit(written.get["rows"]).cast("long").alias("written_rows"),
         F.count(F.lit(1)).alias("stored_rows"),
         F.count_if(F.greatest(*[F.col(k).isNull() for k in key], F.lit(False))).alias("null_keys"),
-    )
+    ).withColumn("complete", F.col("written_rows") == F.col("stored_rows"))
 
 
 def read_stage(spark: SparkSession, path: str, *columns: str) -> DataFrame:

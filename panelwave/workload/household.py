@@ -160,7 +160,8 @@ def household_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _final(spark: SparkSession, sf_dir: str):
     by_id = {c.config_id: c for c in models.default_configs()}
     frozen = {"linear": by_id["lr_reg_10.0"], "forest": by_id["rf_t50_d6"]}
-    return final_test(_panel(spark, sf_dir), preset.SPEC, (*TRAIN, *VALID), TEST, frozen)
+    test = final_test(_panel(spark, sf_dir), preset.SPEC, (*TRAIN, *VALID), TEST, frozen)
+    return test.stored(scratch_dir(spark, "predictions"))
 
 
 @query()

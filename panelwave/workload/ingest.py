@@ -204,7 +204,7 @@ def consolidate_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_stage(spark, path)
 
 
-@query("SELECT count(*) AS stored_rows, CAST(0 AS BIGINT) AS null_keys FROM orders")
+@query("SELECT count(*) AS written_rows, count(*) AS stored_rows, CAST(0 AS BIGINT) AS null_keys, true AS complete FROM orders")
 def scored_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = orders(spark, sf_dir).select("o_orderkey", "period", "o_totalprice")
     return sinks.write_verified(scored, scratch_dir(spark, "scored"), ["o_orderkey"])
@@ -220,9 +220,11 @@ def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(back, 4, ["mean"]).withColumn("pct", F.round("pct", 6))
 
 
-@query()
+@query("""SELECT '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus
+ || '","o_orderpriority":"' || o_orderpriority || '"}' AS json FROM orders""")
 def row_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.to_json_rows(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
+    return sinks.to_json_rows(o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
 
 
 @query("""SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) || 'T' || CAST(quarter(o_orderdate) AS VARCHAR) AS period,

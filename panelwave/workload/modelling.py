@@ -29,10 +29,11 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test rows with two predictions that SQL can reproduce."""
+    """Test rows with two predictions that SQL can reproduce, stored as scored rows are."""
     train, test = _sides(spark, sf_dir)
     test = test.select("id", "period", "year", "segment", "status", "target", "qty")
-    return evaluate.predict_line(train, evaluate.predict_mean(train, test, "target"), "target", "qty")
+    scored = evaluate.predict_line(train, evaluate.predict_mean(train, test, "target"), "target", "qty")
+    return sinks.write_stage(scored, scratch_dir(spark, "scored"))
 
 
 def _banded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +134,17 @@ def best_by_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(sampling.best_row(table, F.col("rmse"), F.col("model")).select("model", "rmse"), 4)
 
 
-@query()
+@query(f"""WITH {SCORED_SQL}, {METRICS_SQL}, {ERRORS_SQL},
+b AS (SELECT rmse AS v FROM metrics WHERE model = 'baseline'),
+h AS (SELECT model, count(*) FILTER (top) AS n, avg(target - p) FILTER (top) AS e,
+ 100.0 * count(*) FILTER (top AND target > p) / CAST(count(*) FILTER (top) AS DOUBLE) AS u FROM (SELECT *, band = '>=P95' AS top FROM long) GROUP BY 1),
+w AS (SELECT model, string_agg(t, '; ' ORDER BY t) AS t FROM (SELECT model, grouping || ' ' || label || ' (' || format('{{:,.2f}}', mae) || ')' AS t,
+ row_number() OVER (PARTITION BY grouping, model ORDER BY mae DESC, label) AS k FROM errors WHERE grouping <> 'overall') WHERE k = 1 GROUP BY 1)
+SELECT m.model, format('{{}}: MAE {{:,.2f}}, RMSE {{:,.2f}}, R2 {{:,.4f}}, mean error {{:,.2f}}; RMSE {{:,.1f}}% below the baseline. It {{}} the top band (n={{}}): mean error {{:,.2f}}, {{:,.1f}}% positive residuals. Largest MAE: {{}}.',
+ m.model, mae, rmse, r2, mean_error, 100.0 * (v - rmse) / v,
+ CASE WHEN h.e > 0 AND h.u > 50 THEN 'systematically under-estimates' ELSE 'shows no systematic under-estimation of' END,
+ format('{{:,}}', h.n), h.e, h.u, w.t) AS statement
+FROM metrics m JOIN h ON m.model = h.model JOIN w ON m.model = w.model, b""")
 def conclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _banded(spark, sf_dir)
     gains = evaluate.improvement(evaluate.metrics(scored, "target", MODELS), "baseline")
