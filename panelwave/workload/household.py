@@ -104,10 +104,10 @@ def household_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _foundation(spark, sf_dir).unknown_labels()
 
 
-@query(f"WITH {SQL} " + summary_sql("eligible", MEASURES, "periodo_archivo"))
+@query(f"WITH {SQL} " + summary_sql("eligible", MEASURES, "periodo_archivo", 6))
 def household_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _describe(spark, sf_dir).summary_by_period()
-    return rounded(rounded(table, 3, ["skewness", "kurtosis"]), 4, ["mean", "sd", "min", "max", "p25", "p50", "p75", "p95"])
+    return rounded(rounded(table, 3, ["skewness", "kurtosis"]), 6, ["mean", "sd", "min", "max", "p25", "p50", "p75", "p95"])
 
 
 @query(f"""WITH {SQL}, l AS (SELECT unnest([{', '.join(f"'{k}'" for k in preset.LABELS['nivel_educativo'])}]) AS c,

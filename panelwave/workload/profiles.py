@@ -108,7 +108,7 @@ def corr_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(association.ranked_with(association.pearson(obs(spark, sf_dir), OBS_MEASURES), "target"), 6)
 
 
-def histogram_sql(bins: int, value: str, power: bool) -> str:
+def histogram_sql(bins: int, value: str, power: bool, places: int) -> str:
     edge = f"lo + (bin - 1) * ((hi - lo) / {bins}.0)"
     lower, upper = edge, f"({edge}) + (hi - lo) / {bins}.0"
     if power:
@@ -116,16 +116,16 @@ def histogram_sql(bins: int, value: str, power: bool) -> str:
     return f"""WITH v AS (SELECT {value} AS x FROM orders), e AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
 b AS (SELECT CAST(least(floor((x - lo) / ((hi - lo) / {bins}.0)) + 1, {bins}) AS INTEGER) AS bin, count(*) AS n FROM v, e GROUP BY 1),
 g AS (SELECT CAST(unnest(range(1, {bins + 1})) AS INTEGER) AS bin)
-SELECT g.bin, round({lower.replace('bin', 'g.bin')}, 4) AS lower, round({upper.replace('bin', 'g.bin')}, 4) AS upper,
+SELECT g.bin, round({lower.replace('bin', 'g.bin')}, {places}) AS lower, round({upper.replace('bin', 'g.bin')}, {places}) AS upper,
  coalesce(b.n, 0) AS n FROM g CROSS JOIN e LEFT JOIN b ON g.bin = b.bin"""
 
 
-@query(histogram_sql(40, "o_totalprice", False))
+@query(histogram_sql(40, "o_totalprice", False, 6))
 def histogram_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(profile.histogram(table(spark, sf_dir, "orders"), "o_totalprice"), 4)
+    return rounded(profile.histogram(table(spark, sf_dir, "orders"), "o_totalprice"), 6)
 
 
-@query(histogram_sql(50, "log10(o_totalprice)", True))
+@query(histogram_sql(50, "log10(o_totalprice)", True, 4))
 def histogram_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile.histogram(table(spark, sf_dir, "orders"), "o_totalprice", profile.LOG_BINS, log=True), 4)
 
