@@ -78,8 +78,9 @@ def metrics(df: DataFrame, target: str, models: Mapping[str, str], by: Sequence[
 def thresholds(df: DataFrame, target: str, levels: Mapping[str, float] = BAND_LEVELS) -> DataFrame:
     """One row per threshold name."""
     cut = exact_thresholds(df, target, list(levels.values()))
-    rows = [struct(band=name, level=level, threshold=cut[i]) for i, (name, level) in enumerate(levels.items())]
-    return rows_from(df.sparkSession.range(1), [], rows)
+    known = df.sparkSession.range(1).select(cut.alias("_cut"))
+    rows = [struct(band=n, level=q, threshold=F.col("_cut")[i]) for i, (n, q) in enumerate(levels.items())]
+    return rows_from(known, [], rows)
 
 
 def with_band(
@@ -87,7 +88,7 @@ def with_band(
 ) -> DataFrame:
     """Band of the actual target by exact quantiles of the same rows."""
     cut = exact_thresholds(df, target, list(levels.values()))
-    return df.withColumn(name, band(F.col(target), cut, list(levels)))
+    return df.withColumn("_cut", cut).withColumn(name, band(F.col(target), F.col("_cut"), list(levels))).drop("_cut")
 
 
 def error_table(df: DataFrame, target: str, models: Mapping[str, str], groups: Sequence[str]) -> DataFrame:

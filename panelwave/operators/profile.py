@@ -85,11 +85,14 @@ def composition_by_period(df: DataFrame, period: str, category: str, target: str
 
 def tail_concentration(df: DataFrame, target: str, level: float = TAIL_LEVEL) -> DataFrame:
     """How much of the target's mass lies at or above a high quantile."""
-    value = F.col(target)
-    cut = exact_thresholds(df, target, [0.5, level])
-    mean = one_row(df, m=F.avg(target))["m"]
+    value, cut = F.col(target), F.col("_cut")
+    known = df.select(
+        target,
+        exact_thresholds(df, target, [0.5, level]).alias("_cut"),
+        one_row(df, m=F.avg(target))["m"].alias("_centre"),
+    )
     high = value >= cut[1]
-    return df.agg(
+    return known.agg(
         F.count(target).alias("n"),
         finite_or_null(F.skewness(target)).alias("skewness"),
         finite_or_null(F.kurtosis(target)).alias("kurtosis"),
@@ -98,7 +101,8 @@ def tail_concentration(df: DataFrame, target: str, level: float = TAIL_LEVEL) ->
         F.sum(target).alias("_mass"),
         F.sum(F.when(high, value)).alias("_high_mass"),
         F.count_if(high).alias("n_high"),
-        F.count_if(value > mean).alias("_above"),
+        F.count_if(value > F.col("_centre")).alias("_above"),
+        F.first("_cut").alias("_cut"),
     ).select(
         "n",
         "skewness",
@@ -117,15 +121,17 @@ def histogram(df: DataFrame, column: str, bins: int = LINEAR_BINS, log: bool = F
     raw = F.col(column).cast("double")
     scaled = F.when(raw > 0, F.log10(raw)) if log else raw
     values = df.select(finite_or_null(scaled).alias("_x")).where(F.col("_x").isNotNull())
-    ends = one_row(values, lo=F.min("_x"), hi=F.max("_x"))
+    found = one_row(values, lo=F.min("_x"), hi=F.max("_x")).alias("_ends")
+    ends = F.col("_ends")
     width = (ends["hi"] - ends["lo"]) / F.lit(float(bins))
     place = F.floor(F.try_divide(F.col("_x") - ends["lo"], width)) + 1
     counted = (
-        values.select(F.least(F.coalesce(place, F.lit(1)), F.lit(bins)).cast("int").alias("bin"))
+        values.select("_x", found)
+        .select(F.least(F.coalesce(place, F.lit(1)), F.lit(bins)).cast("int").alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    grid = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    grid = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"), found)
     edge = ends["lo"] + (F.col("bin") - 1) * width
     lower, upper = (F.pow(F.lit(10.0), e) if log else e for e in (edge, edge + width))
     return grid.join(counted, "bin", "left").select(
