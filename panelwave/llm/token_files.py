@@ -15,6 +15,9 @@ by rank, 32 bits each.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,8 +38,15 @@ HEADER = "<5I"
 #: Ids in a block and, on average, in a shard; they bound the memory of a task.
 BLOCK_IDS = 1 << 20
 SHARD_IDS = 8_000_000
-#: Words whose ids a task remembers.
-CACHE_WORDS = 400_000
+#: Pieces whose ids a worker remembers.
+CACHE_PIECES = 1_500_000
+# Fixed value: the pattern by which the tokenizer of the queries cuts texts.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Texts of these characters are their own normal form but for case, and PIECE cuts them as SPLIT does.
+PLAIN = re.compile("[\t-\r -~\u00c0-\u012f\u0131-\u017e]*")
+PIECE = re.compile(
+    "[a-z\u00df-\u00f6\u00f8-\u017e]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\t-\r a-z0-9\u00df-\u00f6\u00f8-\u017e]+"
+)
 LENGTHS = 1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8)
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
@@ -63,28 +73,50 @@ def decoded(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str):
+def tokenizer(path: str) -> tuple:
+    """The tokenizer, its model's encoder, the ids of pieces met so far, and whether it cuts texts at PIECE."""
+    # Tasks share the cores already; threads for a few new pieces cost more than they save.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    model = Tokenizer.from_file(path)
+    rules = json.loads(model.to_str())
+    steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+    cuts = [x["type"] for x in steps] == ["Split", "ByteLevel"] and steps[0]["pattern"] == {"Regex": SPLIT}
+    lower = "Lowercase" in [x["type"] for x in (rules["normalizer"] or {}).get("normalizers", [])]
+    return model, model.model.tokenize, {}, cuts and lower and rules["post_processor"] is None
 
 
-def word_ids(words: list[bytes], path: str, kind: str) -> bytes:
-    """Ids of words cut at ASCII white space, where this kind of tokenizer never joins; each new word is encoded once."""
-    model, known = tokenizer(path)
-    try:
-        return b"".join([known[w] for w in words])
-    except KeyError:
-        pass
-    new = [w for w in dict.fromkeys(words) if w not in known]
-    if len(known) + len(new) > CACHE_WORDS:
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes themselves, the others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
+
+
+LETTERS = {b: c for b, c in enumerate(byte_letters())}
+
+
+def text_ids(text: str, path: str, kind: str) -> bytes:
+    """Ids of a text. A plain text is cut as the tokenizer cuts it, and each new piece is encoded once."""
+    model, encoder, known, cuts = tokenizer(path)
+    if not (cuts and PLAIN.fullmatch(text) and "<|" not in text):
+        return np.array(model.encode(text, add_special_tokens=False).ids, kind).tobytes()
+    if len(known) > CACHE_PIECES:
         known.clear()
-        new = list(dict.fromkeys(words))
-    for k in range(0, len(new), 4096):
-        some = new[k : k + 4096]
-        for w, e in zip(some, model.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, kind).tobytes()
-    return b"".join([known[w] for w in words])
+    letter = {"2": "<%dH", "4": "<%dI"}[kind[2]]
+    pieces = PIECE.findall(text.lower())
+    ids = list(map(known.get, pieces))
+    if None in ids:
+        for at, found in enumerate(ids):
+            if found is None:
+                piece = pieces[at]
+                found = known.get(piece)
+                if found is None:
+                    new = [t.id for t in encoder(piece.encode().decode("latin-1").translate(LETTERS))]
+                    found = known[piece] = struct.pack(letter % len(new), *new)
+                ids[at] = found
+    return b"".join(ids)
 
 
 def file_system(folder: str) -> tuple[fs.FileSystem, str]:
@@ -103,7 +135,7 @@ def encode(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [word_ids(t.as_py().encode().split(), path, kind) + end for t in batch.column(1)]
+            ids = [text_ids(t.as_py(), path, kind) + end for t in batch.column(1)]
             n = pa.array([len(x) // int(kind[2]) for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), n], ["id", "ids", "n"])
 
