@@ -105,8 +105,14 @@ def verified(
     A pair that shares several filters is counted in its smallest common one only: ``lower`` has a vector's filters
     below this one. ``kind`` is the number format of the vectors' bytes.
     """
-    nodes, sizes = rows["node"].to_numpy(np.int64), rows["size"].to_numpy(np.int64)
     unit = unit_rows(np.frombuffer(b"".join(rows["vec"]), kind).reshape(len(rows), -1))
+    nodes, sizes, lower = rows["node"].to_numpy(np.int64), rows["size"].to_numpy(np.int64), rows["lower"].to_numpy()
+    return in_group(unit, nodes, sizes, lower, least, part)
+
+
+def in_group(
+    unit: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, lower: np.ndarray, least: float, part: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     close = unit @ unit.T >= least
     np.fill_diagonal(close, False)
     if part is not None:
@@ -116,7 +122,7 @@ def verified(
         return nodes[:0], nodes[:0], np.empty((2, 0), np.int64)
     close = close[np.ix_(used, used)]
     nodes, sizes = nodes[used], sizes[used]
-    lists = [np.frombuffer(f, "<i4") for f in rows["lower"].to_numpy()[used]]
+    lists = [np.frombuffer(f, "<i4") for f in lower[used]]
     owner = np.repeat(np.arange(len(used)), [len(x) for x in lists])
     names, column = np.unique(np.concatenate(lists), return_inverse=True)
     shared = np.zeros((len(used), max(1, len(names))), np.float32)
@@ -177,11 +183,21 @@ def near_vectors(
             if extent == "large":
                 yield rows.assign(a=None, b=None, n=None)
                 continue
-            for _, group in rows.groupby("key"):
-                if len(group) > 1:
-                    out = answers(*verified(group, least, kind))
-                    if len(out):
-                        yield out.assign(**dict.fromkeys(PAYLOAD))
+            key = rows["key"].to_numpy()
+            begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            ends = np.append(begins[1:], len(key))
+            nodes, sizes, lower = rows["node"].to_numpy(np.int64), rows["size"].to_numpy(np.int64), rows["lower"].to_numpy()
+            vectors = rows["vec"].to_numpy()
+            found = []
+            for s, e in zip(begins[ends - begins > 1], ends[ends - begins > 1], strict=True):
+                unit = unit_rows(np.frombuffer(b"".join(vectors[s:e]), kind).reshape(e - s, -1))
+                out = in_group(unit, nodes[s:e], sizes[s:e], lower[s:e], least)
+                if len(out[0]):
+                    found.append(out)
+            if found:
+                counted, n, links = zip(*found, strict=True)
+                out = answers(np.concatenate(counted), np.concatenate(n), np.concatenate(links, axis=1))
+                yield out.assign(**dict.fromkeys(PAYLOAD))
 
     def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys = ["key", "tile_i", "tile_j"]
