@@ -45,6 +45,17 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES), "")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores added as make it differ from every column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def crc_of_id(column: str = "doc_id") -> Column:
     """crc32 of the id as text; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwave.llm.common import stored, whole_text, words_of
+from panelwave.llm.common import fresh, stored, whole_text, words_of
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -150,8 +150,8 @@ def contaminated(
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, that match no item."""
     hits = contaminated(docs, benchmark, id_col, text_col, **options)
-    hits = stored(hits.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_th")).distinct(), "leaks")
-    text = F.xxhash64(F.lower(whole_text(text_col)))
-    rows = docs.withColumn("_text_hash", text)
-    on = rows[id_col].eqNullSafe(hits["_id"]) & (rows["_text_hash"] == hits["_th"])
-    return rows.join(bounded(hits, hits.count()), on, "left_anti").drop("_text_hash")
+    of_id, of_text = fresh(docs, "_id", "_text")
+    hits = stored(hits.select(F.col(id_col).alias(of_id), F.col("text_hash").alias(of_text)).distinct(), "leaks")
+    hits = bounded(hits, hits.count())
+    on = F.col(id_col).eqNullSafe(F.col(of_id)) & (F.xxhash64(F.lower(whole_text(text_col))) == F.col(of_text))
+    return docs.join(hits, on, "left_anti")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwave.llm.common import stored, whole_text, words_of
+from panelwave.llm.common import fresh, stored, whole_text, words_of
 
 WEIGHTS = (3, 1, 2)
 #: Words in a block. Small blocks keep every source near its target.
@@ -134,17 +134,18 @@ def mix(
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The mix as whole documents, all columns: each row as many times as the mix takes its size, to the nearest."""
+    of_id, of_source, of_size, times, copy = fresh(docs, "_id", "_source", "_size", "_times", "_copy")
     counts = stored(
         mix(docs, id_col, text_col, **options).select(
-            F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-            F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size")).cast("int")).otherwise(1).alias("_times"),
+            F.col(id_col).alias(of_id), F.col("source").alias(of_source), F.col("size").alias(of_size),
+            F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size")).cast("int")).otherwise(1).alias(times),
         ),
         "mix-counts",
     )
     source_col = options.get("source_col", "source")
     # Repeated ids of one source and size get the same number of copies each, by their mean.
-    counts = counts.groupBy("_id", "_source", "_size").agg(F.round(F.avg("_times")).cast("int").alias("_times"))
+    counts = counts.groupBy(of_id, of_source, of_size).agg(F.round(F.avg(times)).cast("int").alias(times))
     size = word_count(text_col)
-    on = docs[id_col].eqNullSafe(counts["_id"]) & docs[source_col].eqNullSafe(counts["_source"]) & (size == counts["_size"])
-    rows = docs.join(counts, on).where("_times > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    on = docs[id_col].eqNullSafe(counts[of_id]) & docs[source_col].eqNullSafe(counts[of_source]) & (size == counts[of_size])
+    rows = docs.join(counts, on).where(F.col(times) > 0)
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwave.llm.common import labelled_sample
+from panelwave.llm.common import fresh, labelled_sample
 
 WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 BUCKETS = 1 << 22
@@ -115,7 +115,7 @@ def learn(
     label_col: str = "toxic",
     id_col: str = "doc_id",
     text_col: str = "text",
-    most_rows: int = 5000,
+    most_rows: int = 3000,
     most_features: int = 4096,
 ) -> OrdinalModel | None:
     """Fits on at most ``most_rows`` labelled rows of each value, by smallest hash, weighted back to all labelled rows.
@@ -148,11 +148,15 @@ def learn(
     if not 0 < label.sum() < len(label):
         return None
     names = [np.frombuffer(t[2], "<i4") for t in taken]
-    row = np.repeat(np.arange(len(names)), [len(x) for x in names])
-    column, value = np.concatenate(names), np.concatenate([np.frombuffer(t[3], "<f4") for t in taken]).astype(float)
+    row = np.repeat(np.arange(len(names), dtype=np.int32), [len(x) for x in names])
+    column, value = np.concatenate(names), np.concatenate([np.frombuffer(t[3], "<f4") for t in taken])
+    del taken, names
     toxic = label[row] == 1
     pos = np.bincount(column[toxic], minlength=BUCKETS)
     neg = np.bincount(column[~toxic], minlength=BUCKETS)
+    del toxic
+    active = np.flatnonzero(pos + neg >= 3)
+    pos, neg = pos[active], neg[active]
     n_pos, n_neg = label.sum(), len(label) - label.sum()
     rate_pos, rate_neg = (pos + 0.5) / (n_pos + 1), (neg + 0.5) / (n_neg + 1)
     rate = (pos + neg + 1) / (n_pos + n_neg + 2)
@@ -164,16 +168,16 @@ def learn(
     if not len(chosen):
         return None
     place = np.full(BUCKETS, -1, np.int64)
-    place[chosen] = np.arange(len(chosen))
+    place[active[chosen]] = np.arange(len(chosen))
     inside = place[column] >= 0
-    row, column, value = row[inside], place[column[inside]], value[inside]
+    row, column, value = row[inside], place[column[inside]], value[inside].astype(float)
     telling = ((rate_pos > 4 * rate_neg) & (gain > 4))[chosen]
     density = np.bincount(row, weights=value * telling[column], minlength=len(label))
     grade = np.where(label == 1, 1 + (density > np.median(density[label == 1])), 0)
     share = {v: totals[v] / (label == v).sum() for v in (0, 1)}
     w, t = fit_ordinal(row, column, value, len(chosen), grade, np.where(label == 1, share[1], share[0]))
     used = np.abs(w) > 1e-4
-    return OrdinalModel(chosen[used], w[used], t)
+    return OrdinalModel(active[chosen][used], w[used], t)
 
 
 def toxicity_scores(
@@ -189,12 +193,12 @@ def toxicity_scores(
     ``threshold``) of every row.
 
     A NULL or empty text has no features. Without a model severity is 0. With ``keep_columns`` all input columns come
-    first, and the three results are named ``_severity``, ``_p_toxic``, ``_toxic``.
+    first, and the three results, now ``_severity``, ``_p_toxic``, ``_toxic``, are renamed where they clash.
     """
-    mark = "_" if keep_columns else ""
     first = [F.col(c) for c in docs.columns] if keep_columns else [F.col(id_col), *also]
-    source = docs.select(*first, whole_text_again(text_col))
+    source = docs.select(*first, F.col(text_col).alias(fresh(docs, "_text")[0]))
     kept = source.columns[:-1]
+    results = fresh(docs, "_severity", "_p_toxic", "_toxic") if keep_columns else ["severity", "p_toxic", "toxic"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,11 +210,8 @@ def toxicity_scores(
                 severity, p = above.sum(axis=1), above[:, 0]
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             columns += [pa.array(severity), pa.array(p), pa.array(p >= threshold)]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, f"{mark}severity", f"{mark}p_toxic", f"{mark}toxic"])
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *results])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema.fields[:-1])
-    return source.mapInArrow(rows, f"{fields}{mark}severity double, {mark}p_toxic double, {mark}toxic boolean")
-
-
-def whole_text_again(text_col: str) -> Column:
-    return F.col(text_col).alias("_text_for_features")
+    kinds = zip(results, ("double", "double", "boolean"), strict=True)
+    return source.mapInArrow(rows, fields + ", ".join(f"`{n}` {k}" for n, k in kinds))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwave.llm.common import forest, sorted_groups, stored, tiled, whole_text
+from panelwave.llm.common import forest, fresh, sorted_groups, stored, tiled, whole_text
 from panelwave.llm.components import components
 
 BITS = 64
@@ -166,8 +166,9 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = stored(grouped(docs, id_col, text_col), "simhash-groups")
     rows = groups.groupBy("root", "id", "th").agg(F.count(F.lit(1)).alias("n"))
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th", "n")).alias("h"))
-    heads = first.select(F.col("h.id").alias("_id"), F.col("h.th").alias("_th"), F.col("h.n").alias("_n"))
-    same = docs[id_col].cast("long").eqNullSafe(heads["_id"]) & (F.xxhash64(whole_text(text_col)) == heads["_th"])
+    of_id, of_text, times = fresh(docs, "_id", "_text", "_times")
+    heads = first.select(F.col("h.id").alias(of_id), F.col("h.th").alias(of_text), F.col("h.n").alias(times))
+    same = docs[id_col].cast("long").eqNullSafe(heads[of_id]) & (F.xxhash64(whole_text(text_col)) == heads[of_text])
     chosen = docs.join(heads, same)
-    repeated = chosen.where("_n > 1").dropDuplicates(["_id", "_th"])
-    return chosen.where("_n = 1").union(repeated).select(*docs.columns)
+    repeated = chosen.where(F.col(times) > 1).dropDuplicates([of_id, of_text])
+    return chosen.where(F.col(times) == 1).union(repeated).select(*docs.columns)
