@@ -101,11 +101,26 @@ def mix(
     size. NULL texts have size 0; NULL is a source of its own; rows that repeat an id and a text follow each other in
     the order. An empty table gives no rows. Reruns agree.
     """
+    rows, bins = laid_out(docs, id_col, text_col, source_col, weights, share, most, seed, block_words, shards)
+    return taken_of(rows, bins, most).select(
+        F.col("id").alias(id_col), "size", "source_size", "target", "taken", "source", "bin"
+    )
+
+
+def bin_of(id_col: str, seed: int) -> Column:
+    return F.conv(F.substring(seeded(id_col, seed), 1, 3), 16, 10).cast("int") % GROUPS
+
+
+def laid_out(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float, most: int,
+    seed: int, block_words: int, shards: int,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with their places, and the groups of each source with the words before them and the source's plan."""
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"),
-        seeded(id_col, seed).alias("place"),
+        seeded(id_col, seed).alias("place"), bin_of(id_col, seed).alias("bin"),
     )
-    rows = stored(rows, "mix-sizes").withColumn("bin", F.conv(F.substring("place", 1, 3), 16, 10).cast("int") % GROUPS)
+    rows = stored(rows, "mix-sizes")
     bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     sizes = bins.groupBy("source").agg(F.sum("bin_size").alias("source_size"))
     aims = targets(sizes, weights, share, float(most))
@@ -113,39 +128,62 @@ def mix(
     aims = stored(aims.join(taken, "rank", "left"), "mix-targets")
     limit = F.least(F.coalesce("blocks", F.lit(0)) * block_words, F.col("source_size") * most)
     aims = aims.select("source", "source_size", "target", limit.alias("words"))
-    before_bin = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    bins = bins.withColumn("bin_before", F.coalesce(F.sum("bin_size").over(before_bin), F.lit(0)))
-    same = [F.col("b.source").eqNullSafe(F.col("a.source"))]
-    bins = bins.alias("b").join(aims.alias("a"), same).select("b.source", "bin", "bin_before", "source_size", "target", "words")
+    before = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
+    bins = bins.withColumn("bin_before", F.coalesce(F.sum("bin_size").over(before), F.lit(0)))
+    same = F.col("b.source").eqNullSafe(F.col("a.source"))
+    return rows, bins.alias("b").join(aims.alias("a"), same).select("b.*", "a.source_size", "a.target", "a.words")
+
+
+def taken_of(rows: DataFrame, bins: DataFrame, most: int) -> DataFrame:
+    """Adds the plan of its source and ``taken`` to every row of the groups ``bins``."""
     inside = W.partitionBy("source", "bin").orderBy("place", "size").rowsBetween(W.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     on = F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.bin") == F.col("b.bin"))
-    placed = rows.alias("r").join(bins.alias("b"), on)
-    begin = F.col("r.before") + F.col("b.bin_before")
-    takes = sum(
-        F.least(F.greatest(F.col("b.words") - F.col("b.source_size") * k - begin, F.lit(0)), F.col("r.size"))
-        for k in range(most)
+    placed = rows.alias("r").join(bins.alias("b"), on).select("r.*", "b.source_size", "b.target", "b.words", "b.bin_before")
+    begin = F.col("before") + F.col("bin_before")
+    passes = [F.col("words") - F.col("source_size") * k - begin for k in range(most)]
+    return placed.withColumn("taken", sum(F.least(F.greatest(p, F.lit(0)), F.col("size")) for p in passes))
+
+
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2, seed: int = 42,
+    block_words: int = BLOCK_WORDS, shards: int = SHARDS,
+) -> DataFrame:
+    """The mix as whole documents, all columns: each row as many times as the mix takes its size, to the nearest; rows
+    without words once.
+
+    A pass over a source takes its groups up to one that it cuts. Rows of all other groups know their number from the
+    plan of their source, one small row; only rows of cut groups are counted one by one. Repeated ids of one source and
+    size in a cut group get the same number of copies each, by their mean.
+    """
+    rows, bins = laid_out(docs, id_col, text_col, source_col, weights, share, most, seed, block_words, shards)
+    over = [F.col("words") - F.col("source_size") * k - F.col("bin_before") for k in range(most)]
+    whole = [o >= F.col("bin_size") for o in over]
+    cut = F.lit(False)
+    for o, w in zip(over, whole, strict=True):
+        cut = cut | (~w & (o > 0))
+    bins = stored(bins.withColumn("cut", cut), "mix-groups")
+    plans = bins.groupBy("source").agg(
+        F.array(*[F.coalesce(F.max(F.when(w, F.col("bin"))), F.lit(-1)) for w in whole]).alias("upto"),
+        F.collect_set(F.when(F.col("cut"), F.col("bin"))).alias("cuts"),
     )
-    return placed.select(
-        F.col("r.id").alias(id_col), F.col("r.size").alias("size"), F.col("b.source_size").alias("source_size"),
-        F.col("b.target").alias("target"), takes.alias("taken"), F.col("r.source").alias("source"), F.col("r.place").alias("place"),
-    )
-
-
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The mix as whole documents, all columns: each row as many times as the mix takes its size, to the nearest."""
-    of_id, of_source, of_size, times, copy = fresh(docs, "_id", "_source", "_size", "_times", "_copy")
-    counts = stored(
-        mix(docs, id_col, text_col, **options).select(
-            F.col(id_col).alias(of_id), F.col("source").alias(of_source), F.col("size").alias(of_size),
-            F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size")).cast("int")).otherwise(1).alias(times),
-        ),
-        "mix-counts",
-    )
-    source_col = options.get("source_col", "source")
-    # Repeated ids of one source and size get the same number of copies each, by their mean.
-    counts = counts.groupBy(of_id, of_source, of_size).agg(F.round(F.avg(times)).cast("int").alias(times))
-    size = word_count(text_col)
-    on = docs[id_col].eqNullSafe(counts[of_id]) & docs[source_col].eqNullSafe(counts[of_source]) & (size == counts[of_size])
-    rows = docs.join(counts, on).where(F.col(times) > 0)
-    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
+    of_source, upto, cuts, at, of_id, of_size, times, copy = fresh(
+        docs, "_source", "_upto", "_cuts", "_bin", "_id", "_size", "_times", "_copy"
+    )
+    plans = stored(plans.select(F.col("source").alias(of_source), F.col("upto").alias(upto), F.col("cuts").alias(cuts)), "mix-plans")
+    dealt = docs.withColumn(at, bin_of(id_col, seed)).join(plans, docs[source_col].eqNullSafe(plans[of_source]))
+    inside = F.array_contains(cuts, F.col(at))
+    some = F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
+    number = sum((F.element_at(upto, k + 1) >= F.col(at)).cast("int") for k in range(most))
+    number = F.when(F.coalesce(some, F.lit(False)), number).otherwise(1)
+    known = dealt.where(~inside).select(*docs.columns, number.alias(times))
+
+    counted = taken_of(rows, bins.where("cut"), most).groupBy(F.col("id").alias(of_id), F.col("source").alias(of_source), F.col("size").alias(of_size))
+    share_taken = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(1)
+    counted = counted.agg(F.round(F.avg(share_taken)).cast("int").alias(times))
+    open_rows = dealt.where(inside).select(*docs.columns)
+    on = open_rows[id_col].eqNullSafe(counted[of_id]) & open_rows[source_col].eqNullSafe(counted[of_source])
+    met = open_rows.join(counted, on & (word_count(text_col) == counted[of_size])).select(*docs.columns, times)
+    kept = known.union(met).where(F.col(times) > 0)
+    return kept.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
