@@ -96,4 +96,50 @@ QUERIES = {
         op7_simhash_dedup, op8_toxicity, op9_secret_scan, op10_source_mix, pipeline,
     )
 }
-SQL: dict[str, str] = {}
+MIX_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+  md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM d GROUP BY source),
+w AS (SELECT *, CAST([3, 1, 2][(rank - 1) % 3 + 1] AS DOUBLE) AS weight, CAST(2 * source_size AS DOUBLE) AS cap FROM s),
+l AS (SELECT *, (sum(source_size) OVER () * CAST(1.5 AS DOUBLE) - coalesce(sum(cap) OVER below, 0))
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER below, 0)) AS level FROM w
+  WINDOW below AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+a AS (SELECT *, CASE WHEN cap <= level * weight THEN cap
+    ELSE weight * max(level) FILTER (WHERE cap > level * weight) OVER () END AS target FROM l),
+seats AS (SELECT rank, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, rank, k) AS place
+  FROM a, generate_series(1, CAST(source_size // 16 + 2 AS BIGINT)) AS g(k) WHERE target > 0),
+blocks AS (SELECT rank, count(*) AS n FROM seats WHERE place <= (SELECT round(sum(target) / 32) FROM a) GROUP BY rank),
+plan AS (SELECT source, source_size, target, least(coalesce(n, 0) * 32, 2 * source_size) AS words FROM a LEFT JOIN blocks USING (rank)),
+laid AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(least(greatest(words - before, 0), size) + least(greatest(words - source_size - before, 0), size) AS BIGINT) AS taken
+FROM laid JOIN plan ON laid.source IS NOT DISTINCT FROM plan.source"""
+
+
+def _secret_sql() -> str:
+    """Every match of every rule with its place, from the pieces between the matches."""
+    kinds = []
+    for number, rule in enumerate(secret_ledger.RULES, 1):
+        pattern = rule.pattern.replace("((?i)password|passwd|secret|token|api_?key)", "((?i:password|passwd|secret|token|api_?key))")
+        quoted = pattern.replace("'", "''")
+        kinds.append(
+            f"SELECT doc_id, '{rule.kind}' AS kind, {number} AS k, unnest(string_split_regex(t, '{quoted}')) AS gap, "
+            f"unnest(regexp_extract_all(t, '{quoted}', 0)) AS m, unnest(regexp_extract_all(t, '{quoted}', {rule.group})) AS part, "
+            f"{rule.least} AS least, generate_subscripts(string_split_regex(t, '{quoted}'), 1) AS n FROM d"
+        )
+    base = ", ".join(f"'{r.kind}'" for r in secret_ledger.BASE_RULES)
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in secret_ledger.BASE_RULES)
+    out = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secret_ledger.BASE_RULES)
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), each AS ({" UNION ALL ".join(kinds)}),
+placed AS (SELECT *, sum(length(gap) + coalesce(length(m), 0)) OVER (PARTITION BY doc_id, k ORDER BY n) AS stop FROM each),
+kept AS (SELECT doc_id, kind, k, CAST(stop - length(m) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM placed
+  WHERE m IS NOT NULL AND length(part) >= least),
+found AS (SELECT doc_id, {counts},
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (WHERE kind IN ({base})) AS base,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans FROM kept GROUP BY doc_id)
+SELECT doc_id, {out}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN found USING (doc_id)"""
+
+
+SQL: dict[str, str] = {"op9_secret_scan": _secret_sql(), "op10_source_mix": MIX_SQL}
