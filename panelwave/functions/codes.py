@@ -16,8 +16,9 @@ def code_label(col: Column, domain: Sequence[int], unknown: str = UNKNOWN) -> Co
 
 
 def code_order(col: Column) -> Column:
-    """Sort key: numeric codes by value, everything else after them."""
-    return F.when(col.rlike(r"^\d+$"), col.try_cast("int")).otherwise(F.lit(99))
+    """Sort key: whole-number codes by value, then everything else by text, NULL last."""
+    number = F.when(col.rlike(r"^\d+$"), col.try_cast("decimal(38,0)"))
+    return F.struct(number.isNull().alias("other"), number.alias("number"), col.isNull().alias("none"), col.alias("text"))
 
 
 def ordinal(col: Column) -> Column:

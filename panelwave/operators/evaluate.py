@@ -96,15 +96,20 @@ def error_table(df: DataFrame, target: str, models: Mapping[str, str], groups: S
 
     All measures are sums, so the rows are first reduced to one per combination
     of the grouping columns; only that small table is expanded to the groupings.
+    A model's measures cover the rows that have both its prediction and the
+    target, the mean of the target the rows that have one. A NULL group counts
+    as the unknown one.
     """
-    sums: dict[str, Column] = {"n": F.count(F.lit(1)), "y": F.sum(target)}
+    df = df.withColumns({g: F.coalesce(F.col(g).cast("string"), F.lit(UNKNOWN)) for g in groups})
+    sums: dict[str, Column] = {"n": F.count(F.lit(1)), "known": F.count(target), "y": F.sum(target)}
     for i, p in enumerate(models.values()):
         e = residual(target, p)
         sums |= {
             f"abs_{i}": F.sum(F.abs(e)),
             f"err_{i}": F.sum(e),
             f"sq_{i}": F.sum(e * e),
-            f"pred_{i}": F.sum(p),
+            f"pred_{i}": F.sum(F.when(e.isNotNull(), F.col(p))),
+            f"m_{i}": F.count(e),
             f"under_{i}": F.count_if(e > 0),
         }
     base = df.groupBy(*groups).agg(*[c.alias(n) for n, c in sums.items()])
@@ -124,16 +129,16 @@ def error_table(df: DataFrame, target: str, models: Mapping[str, str], groups: S
     structs = [
         struct(
             model=m,
-            mae=ratio(F.col(f"abs_{i}"), n),
-            mean_error=ratio(F.col(f"err_{i}"), n),
-            rmse=F.sqrt(ratio(F.col(f"sq_{i}"), n)),
-            mean_prediction=ratio(F.col(f"pred_{i}"), n),
-            pct_under=percent(F.col(f"under_{i}"), n),
+            mae=ratio(F.col(f"abs_{i}"), F.col(f"m_{i}")),
+            mean_error=ratio(F.col(f"err_{i}"), F.col(f"m_{i}")),
+            rmse=F.sqrt(ratio(F.col(f"sq_{i}"), F.col(f"m_{i}"))),
+            mean_prediction=ratio(F.col(f"pred_{i}"), F.col(f"m_{i}")),
+            pct_under=percent(F.col(f"under_{i}"), F.col(f"m_{i}")),
         )
         for i, m in enumerate(models)
     ]
     named = rolled.select(
-        which.alias("grouping"), label.alias("label"), n, ratio(F.col("y"), n).alias("mean_actual"), "*"
+        which.alias("grouping"), label.alias("label"), n, ratio(F.col("y"), F.col("known")).alias("mean_actual"), "*"
     )
     return rows_from(
         named.select("grouping", "label", named["n"].alias("rows"), "mean_actual", *list(sums)),

@@ -23,6 +23,7 @@ def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     """n, mean, sample sd, min, max, population skewness, excess kurtosis per variable.
 
     The variables stay side by side in one aggregate, rows are not multiplied.
+    Only finite values count, as in the quantiles.
     """
     stats = {
         "n": F.count,
@@ -34,7 +35,7 @@ def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
         "kurtosis": F.kurtosis,
     }
     wide = df.groupBy(*by).agg(
-        *[fn(c).alias(f"_{name}_{c}") for c in columns for name, fn in stats.items()]
+        *[fn(finite_or_null(F.col(c))).alias(f"_{name}_{c}") for c in columns for name, fn in stats.items()]
     )
 
     def cell(name: str, c: str) -> Column:

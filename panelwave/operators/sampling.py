@@ -17,8 +17,11 @@ PREFIXES = 16
 
 
 def _order_key(id_col: Column, seed: int | None, method: str) -> tuple[Column, Column]:
+    """Hash of the id and its first bits; a NULL id has a hash like any other."""
     if method == "md5":
-        text = id_col.cast("string") if seed is None else F.concat_ws("-", id_col.cast("string"), F.lit(str(seed)))
+        text = F.coalesce(id_col.cast("string"), F.lit(""))
+        if seed is not None:
+            text = F.concat_ws("-", id_col.cast("string"), F.lit(str(seed)))
         key = F.md5(text)
         return key, F.conv(F.substring(key, 1, 4), 16, 10).cast("int")
     key = row_hash(id_col, seed=seed)

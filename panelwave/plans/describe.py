@@ -56,7 +56,13 @@ class Description:
         """Adds the ordinal code; a row whose code is unknown has none and cannot be clustered."""
         return self.eligible.withColumn(name, ordinal(F.col(source)))
 
+    def clustering_gaps(self, columns: tuple[str, ...]) -> DataFrame:
+        """One row: eligible rows, and those that cannot be clustered for want of a measure."""
+        gap = F.exists(F.array(*[F.col(c).isNull() for c in columns]), lambda x: x)
+        return self.clustering_input().agg(F.count(F.lit(1)).alias("rows"), F.count_if(gap).alias("excluded"))
+
     def clusters(self, columns: tuple[str, ...]) -> segments.KMeansGrid:
+        """K-means over the rows that have all measures; ``clustering_gaps`` counts the others."""
         return segments.kmeans_grid(
             self.clustering_input().dropna(subset=list(columns)), self.spec.record_id, columns
         )

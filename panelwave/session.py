@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,15 +10,11 @@ from pyspark.sql import SparkSession
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor can reach.
 
-    On a cluster this lies below ``spark.checkpoint.dir``. A machine-local
-    folder is only used with a ``local[...]`` master that names none.
+    It lies in ``spark.checkpoint.dir`` or, where the session names none, in
+    its warehouse: both are shared whatever the master is.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return f"{tempfile.mkdtemp(prefix='panelwave-')}/{name}"
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_stages"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def layout_partitions(spark: SparkSession) -> int:

@@ -9,13 +9,9 @@ from pyspark.sql import functions as F
 
 from panelwave.spec import UNKNOWN, Control
 
-BROADCAST_ROWS = 100_000
-
-
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Driver rows as a DataFrame; hinted for broadcast only while they are few."""
-    frame = spark.createDataFrame(list(rows), schema)
-    return F.broadcast(frame) if len(rows) <= BROADCAST_ROWS else frame
+    """Driver rows as a DataFrame; Spark knows its size and picks the join."""
+    return spark.createDataFrame(list(rows), schema)
 
 
 def label_table(spark: SparkSession, labels: Mapping[str, Mapping[str, str]]) -> DataFrame:

@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 def fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Content fingerprint that ignores row order and file layout.
 
-    Three partial aggregates: row count, xor and sum of a 64-bit row hash. The
-    sum tells repeated rows apart, which cancel out in the xor.
+    Partial aggregates: row count, xor and sum of a 64-bit row hash, and the
+    sum of a second one. A sum tells repeated rows apart, which cancel out in
+    the xor. The hashes skip NULLs, so which cells are NULL is hashed as well.
     """
-    columns = sorted(df.columns)
-    hashed = df.select(*by, F.xxhash64(*[F.col(c) for c in columns]).alias("_h"))
+    cells = [c for name in sorted(df.columns) for c in (F.col(name), F.col(name).isNull())]
+    hashed = df.select(*by, F.xxhash64(*cells).alias("_h"), F.xxhash64(F.lit(1), *cells).alias("_g"))
     text = F.concat_ws(
         "-",
         F.count(F.lit(1)).cast("string"),
         F.hex(F.bit_xor("_h")),
         F.sum(F.col("_h").cast("decimal(20,0)")).cast("string"),
+        F.sum(F.col("_g").cast("decimal(20,0)")).cast("string"),
     )
     return hashed.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), text.alias("fingerprint"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwave.operators import checks as ck
 from panelwave.operators import evaluate, models
+from panelwave.operators.shape import one_row
 from panelwave.plans import household as preset
 from panelwave.plans.describe import Description
 from panelwave.plans.foundation import Foundation, foundation
@@ -148,7 +149,12 @@ def household_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def household_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _describe(spark, sf_dir).clusters(preset.CLUSTER_FEATURES).results
+    """The K table, next to the number of eligible rows and of those left out for want of a measure."""
+    described = _describe(spark, sf_dir)
+    gaps = described.clustering_gaps(preset.CLUSTER_FEATURES)
+    counts = one_row(gaps, rows=F.sum("rows"), excluded=F.sum("excluded"))
+    results = described.clusters(preset.CLUSTER_FEATURES).results
+    return results.withColumns({"eligible_rows": counts["rows"], "excluded_rows": counts["excluded"]})
 
 
 @query()

@@ -267,8 +267,10 @@ def cluster_composition_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cluster_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return obs(spark, sf_dir).dropna(subset=["qty"]).select(
-        "id", "target", "qty", "lines", "acctbal", F.col("priority").cast("double").alias("level"), "segment", "status"
+    """All orders; an order without lines has quantity and lines 0, as in the models."""
+    lines = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("qty", "lines")]
+    return obs(spark, sf_dir).select(
+        "id", "target", *lines, "acctbal", F.col("priority").cast("double").alias("level"), "segment", "status"
     )
 
 
