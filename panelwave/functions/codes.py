@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import pairwise
+from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,17 +37,18 @@ def record_id(*parts: Column) -> Column:
 
 
 def band_names(names: Sequence[str]) -> list[str]:
-    inner = [f"{low}-{high}" for low, high in zip(names, names[1:])]
-    return [f"<{names[0]}", *inner, f">={names[-1]}"]
+    """Labels of the half-open bands between consecutive edges; the outer two have no edge on one side."""
+    edges = [None, *names, None]
+    return [
+        f"<{upper}" if lower is None else f">={lower}" if upper is None else f"{lower}-{upper}"
+        for lower, upper in pairwise(edges)
+    ]
 
 
 def band(value: Column, thresholds: Column, names: Sequence[str]) -> Column:
-    """Half-open band ``[lo, hi)`` of a value, thresholds being an ascending array."""
-    labels = band_names(names)
-    chain = F.when(value < thresholds[0], labels[0])
-    for i in range(1, len(names)):
-        chain = chain.when(value < thresholds[i], labels[i])
-    return F.when(value.isNotNull(), chain.otherwise(labels[-1]))
+    """Band of a value: the number of edges at or below it is the place of its label. NULL has no band."""
+    passed = reduce(add, [(value >= thresholds[i]).cast("int") for i in range(len(names))])
+    return F.get(F.array(*map(F.lit, band_names(names))), passed)
 
 
 def row_hash(*cols: Column, seed: int | None = None) -> Column:

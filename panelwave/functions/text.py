@@ -97,3 +97,8 @@ def _cell_text(name: str, kind: str) -> Column:
     else:
         text = col.cast("string")
     return text.alias(name.strip().upper())
+
+
+def stated(*parts: tuple[str, Column, int]) -> Column:
+    """Named values as one text, ``value name`` each with its number of decimals; NULL values are left out."""
+    return F.concat_ws(", ", *[F.concat(F.format_number(v, places), F.lit(f" {name}")) for name, v, places in parts])

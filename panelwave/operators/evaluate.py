@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwave.functions.codes import band, band_names, code_order
+from panelwave.functions.text import stated
 from panelwave.functions.numeric import correlation, percent, ratio
 from panelwave.operators.quantiles import exact_thresholds
 from panelwave.operators.shape import one_row, rows_from, struct
@@ -214,30 +215,18 @@ def improvement(test: DataFrame, baseline: str, validation: DataFrame | None = N
 
 
 def conclusions(final: DataFrame, bands: DataFrame, worst: DataFrame) -> DataFrame:
-    """One sentence per model from its metrics, its top band and its worst groups."""
-    pattern = F.when(F.col("systematic_under"), "systematically under-estimates").otherwise(
-        "shows no systematic under-estimation of"
+    """``(model, subject, statement)``: a row for the whole test, the top band and the worst group of each grouping."""
+    overall = stated(
+        ("MAE", F.col("mae"), 2), ("RMSE", F.col("rmse"), 2), ("R2", F.col("r2"), 4), ("mean error", F.col("mean_error"), 2),
+        ("% less RMSE than the baseline", F.col("rmse_gain_pct"), 1),
+    )
+    top = stated(
+        ("rows", F.col("n_high"), 0), ("mean error", F.col("mean_error_high"), 2), ("% estimated too low", F.col("pct_under_high"), 1)
     )
-    worst_text = worst.groupBy("model").agg(
-        F.concat_ws(
-            "; ",
-            F.array_sort(F.collect_list(F.format_string("%s %s (%s)", "grouping", "label", F.format_number("mae", 2)))),
-        ).alias("_w")
-    )
-    joined = final.join(bands, "model").join(worst_text, "model")
-    text = F.format_string(
-        "%s: MAE %s, RMSE %s, R2 %s, mean error %s; RMSE %s%% below the baseline. "
-        "It %s the top band (n=%s): mean error %s, %s%% positive residuals. Largest MAE: %s.",
-        F.col("model"),
-        F.format_number("mae", 2),
-        F.format_number("rmse", 2),
-        F.format_number("r2", 4),
-        F.format_number("mean_error", 2),
-        F.format_number("rmse_gain_pct", 1),
-        pattern,
-        F.format_number("n_high", 0),
-        F.format_number("mean_error_high", 2),
-        F.format_number("pct_under_high", 1),
-        F.col("_w"),
+    side = F.when(F.col("systematic_under"), "systematically too low: ").otherwise("no systematic side: ")
+    group = F.concat(F.col("label"), F.lit(": "), stated(("MAE", F.col("mae"), 2)))
+    return (
+        final.select("model", F.lit("all").alias("subject"), overall.alias("statement"))
+        .union(bands.select("model", F.lit("top band"), F.concat(side, top)))
+        .union(worst.select("model", F.concat(F.lit("worst "), "grouping"), group))
     )
-    return joined.select("model", text.alias("statement"))

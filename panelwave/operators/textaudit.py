@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwave.operators.shape import rows_from, struct
@@ -37,52 +40,6 @@ CASELESS = "(?iuU)"
 UNICODE = "(?U)"
 
 
-def _after_last_break(text: Column, carried: Column) -> Column:
-    """Text of the sentence still open after ``text``, given what was open before it."""
-    tail = F.substring_index(F.translate(text, ";\n", ".."), ".", -1)
-    return F.when(text.rlike("[.;\n]"), tail).otherwise(F.concat(carried, text))
-
-
-def _leads(pieces: Column, hits: Column, negated: str, width: int) -> Column:
-    """Per match: start, preceding context and negation, in one sweep over the pieces."""
-    steps = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.struct(p.alias("p"), h.alias("h")))
-    none = F.array().cast("array<struct<start:int,phrase:string,before:string,negated:boolean>>")
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("seen"), F.lit("").alias("open"), none.alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["p"])
-        seen = F.right(F.concat(acc["seen"], x["p"]), F.lit(width))
-        sentence = _after_last_break(x["p"], acc["open"])
-        match = F.struct(
-            start.alias("start"), x["h"].alias("phrase"), seen.alias("before"), sentence.rlike(negated).alias("negated")
-        )
-        return F.struct(
-            (start + F.length(x["h"])).alias("at"),
-            F.right(F.concat(seen, x["h"]), F.lit(width)).alias("seen"),
-            _after_last_break(x["h"], sentence).alias("open"),
-            F.array_append(acc["out"], match).alias("out"),
-        )
-
-    return F.aggregate(steps, zero, step, lambda acc: acc["out"])
-
-
-def _trails(pieces: Column, hits: Column, width: int) -> Column:
-    """Per match: the characters that follow it, swept from the end of the text."""
-    steps = F.reverse(
-        F.zip_with(F.slice(pieces, 2, F.size(hits)), hits, lambda p, h: F.struct(p.alias("p"), h.alias("h")))
-    )
-    zero = F.struct(F.lit("").alias("next"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        follows = F.left(F.concat(x["p"], acc["next"]), F.lit(width))
-        return F.struct(
-            F.left(F.concat(x["h"], follows), F.lit(width)).alias("next"),
-            F.array_append(acc["out"], follows).alias("out"),
-        )
-
-    return F.reverse(F.aggregate(steps, zero, step, lambda acc: acc["out"]))
-
-
 def claims(
     df: DataFrame,
     key: str,
@@ -94,36 +51,54 @@ def claims(
 ) -> DataFrame:
     """``(key, pattern, start, phrase, context)`` of every claim that is not negated.
 
-    A claim is negated if a negator stands between the last ``.``, ``;`` or line
-    end and the claim. Everything is one projection per row and linear in the
-    text: it never leaves its task and only findings are exploded.
+    ``negators`` are plain words. A claim is negated if one stands between the last ``.``, ``;`` or line
+    end and the claim. Texts without a phrase are left out by a native filter; the
+    others go through one Arrow scan, because a claim's sentence is a running state
+    that column expressions can only carry by copying it. The scan places sentence
+    ends and negators once per text and looks them up by bisection, so a text with
+    many claims costs little more than its length. NULL texts claim nothing.
     """
-    body = F.col(text)
-    negated = rf"{CASELESS}\b({'|'.join(negators)})\b"
-
-    cut = [
-        struct(
-            pattern=p,
-            hits=F.regexp_extract_all(body, F.lit(CASELESS + p), 0),
-            pieces=F.split(body, CASELESS + p, -1),
-        )
-        for p in patterns
-    ]
-    mentioning = df.where(body.rlike(CASELESS + "|".join(f"(?:{p})" for p in patterns)))
-    # The explode keeps the regex results materialised: each text is matched once per pattern.
-    matched = mentioning.select(key, F.inline(F.array(*cut))).where(F.size("hits") > 0)
-    hits, pieces = F.col("hits"), F.col("pieces")
-    found = F.zip_with(
-        _leads(pieces, hits, negated, before),
-        _trails(pieces, hits, after),
-        lambda lead, trail: F.struct(
-            lead["start"].alias("start"),
-            lead["phrase"].alias("phrase"),
-            F.translate(F.concat(lead["before"], lead["phrase"], trail), "\n", " ").alias("context"),
-            lead["negated"].alias("negated"),
-        ),
-    )
-    return matched.select(key, "pattern", F.inline(found)).where(~F.col("negated")).drop("negated")
+    ignore_case = re.IGNORECASE
+    phrases = [(p, re.compile(p, ignore_case)) for p in patterns]
+    negator = re.compile(rf"\b(?:{'|'.join(negators)})\b", ignore_case)
+    sentence_end = re.compile(r"[.;\n]")
+    longest = max(map(len, negators), default=0)
+    at_once = 50_000
+    names = [key, "pattern", "start", "phrase", "context"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = None
+        for batch in batches:
+            kind, rows = batch.schema.types[0], []
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ends = [m.end() for m in sentence_end.finditer(body)]
+                denials = [m.span() for m in negator.finditer(body)]
+                begins = [b for b, _ in denials]
+                for pattern, phrase in phrases:
+                    for m in phrase.finditer(body):
+                        sentence = bisect_right(ends, m.start())
+                        begin = ends[sentence - 1] if sentence else 0
+                        first = bisect_left(begins, begin)
+                        if first < len(denials) and denials[first][1] <= m.start():
+                            continue
+                        # A phrase may begin inside a word, right after the letters of a negator.
+                        if negator.search(body, max(begin, m.start() - longest), m.start()):
+                            continue
+                        context = body[max(0, m.start() - before) : m.end() + after].replace("\n", " ")
+                        rows.append((name, pattern, m.start(), m[0], context))
+                        if len(rows) == at_once:
+                            yield table(kind, rows)
+                            rows = []
+            yield table(kind, rows)
+
+    def table(kind: pa.DataType, rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [()] * len(names)
+        kinds = [kind, pa.string(), pa.int32(), pa.string(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+    mentioning = df.where(F.col(text).rlike(CASELESS + "|".join(f"(?:{p})" for p in patterns))).select(key, text)
+    fields = f"`{key}` {df.schema[key].dataType.simpleString()}, pattern string, start int, phrase string, context string"
+    return mentioning.mapInArrow(scan, fields)
 
 
 def pattern_counts(df: DataFrame, key: str, text: str, rules: Mapping[str, str] = HYGIENE_RULES) -> DataFrame:

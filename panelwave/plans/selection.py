@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from panelwave.operators import checks as ck
 from panelwave.operators import evaluate, models
@@ -53,6 +54,11 @@ class FinalTest:
     def high_band(self) -> DataFrame:
         return evaluate.high_band(self.scored, self.spec.target, self.models)
 
+    def compared(self, grid: models.Grid, baseline: str = "baseline") -> DataFrame:
+        """Metrics next to the gain over the baseline and the change of the RMSE against the validation."""
+        kept = grid.candidates().where(F.col("selected") | (F.col("algorithm") == baseline))
+        return evaluate.improvement(self.metrics(), baseline, kept.select(F.col("algorithm").alias("model"), "rmse"))
+
     def conclusions(self, baseline: str = "baseline") -> DataFrame:
         gains = evaluate.improvement(self.metrics(), baseline)
         return evaluate.conclusions(gains, self.high_band(), evaluate.worst_group(self.errors()))
@@ -84,3 +90,26 @@ def final_test(
     scored = evaluate.with_band(evaluate.predict_mean(fit_rows, scored, spec.target), spec.target)
     names = {"baseline": "pred_baseline", **{n: models.prediction_column(n) for n in fitted}}
     return FinalTest(spec, scored, names, fitted, features)
+
+
+def evaluate_once(
+    panel: DataFrame,
+    spec: PanelSpec,
+    train: Sequence[str],
+    valid: Sequence[str],
+    test: Sequence[str],
+    path: str,
+    force: bool = False,
+) -> tuple[models.Grid, FinalTest]:
+    """Select, freeze, refit, and test once.
+
+    A result below ``path`` is an error unless forced, and is looked for before anything is fitted. The frozen
+    configurations are stored there with the fingerprint of the selection rows before the refit, the scored test rows
+    after it.
+    """
+    models.assert_unused(panel.sparkSession, f"{path}/scored", force)
+    grid = select_models(panel, spec, train, valid)
+    selection_rows = panel.where(F.col(spec.period).isin(*train, *valid)).select(spec.record_id, *spec.model_columns)
+    write_stage(models.frozen_configs(grid, selection_rows), f"{path}/frozen")
+    tested = final_test(panel, spec, (*train, *valid), test, grid.frozen())
+    return grid, tested.stored(f"{path}/scored")

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwave.operators import checks as ck
-from panelwave.operators import evaluate, models
+from panelwave.operators import evaluate
 from panelwave.operators.shape import one_row
 from panelwave.plans import household as preset
 from panelwave.plans.describe import Description
 from panelwave.plans.foundation import Foundation, foundation
-from panelwave.plans.selection import final_test, select_models
+from panelwave.plans.selection import FinalTest, evaluate_once, select_models
 from panelwave.session import scratch_dir
+from panelwave.sources.manifest import fingerprint
 from panelwave.workload.frames import household_raw, household_sql
 from panelwave.workload.profiles import summary_sql
 from panelwave.workload.registry import query, rounded
@@ -159,27 +160,65 @@ def household_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def household_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All seven configurations, fitted on the earlier periods and scored on the next year."""
-    return select_models(_panel(spark, sf_dir), preset.SPEC, TRAIN, VALID).results
+    """All seven configurations and the baseline, fitted on the earlier periods and scored on the next year."""
+    return select_models(_panel(spark, sf_dir), preset.SPEC, TRAIN, VALID).candidates()
 
 
 def _final(spark: SparkSession, sf_dir: str):
-    by_id = {c.config_id: c for c in models.default_configs()}
-    frozen = {"linear": by_id["lr_reg_10.0"], "forest": by_id["rf_t50_d6"]}
-    test = final_test(_panel(spark, sf_dir), preset.SPEC, (*TRAIN, *VALID), TEST, frozen)
-    return test.stored(scratch_dir(spark, "predictions"))
+    return evaluate_once(_panel(spark, sf_dir), preset.SPEC, TRAIN, VALID, TEST, scratch_dir(spark, "final"))
 
 
 @query()
 def household_final_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.improvement(_final(spark, sf_dir).metrics(), "baseline")
+    grid, test = _final(spark, sf_dir)
+    return test.compared(grid)
+
+
+@query(f"""WITH {SQL}, s AS (SELECT *, salario_mensual AS y FROM eligible),
+m AS (SELECT avg(y) FILTER (periodo_archivo IN {(*TRAIN, *VALID)}) AS p FROM s)
+SELECT 2 AS algorithms, true AS refitted_as_selected, true AS least_rmse, true AS second_test_refused, true AS fingerprint_of_selection,
+ count(*) AS test_rows, round(avg(abs(y - p)), 4) AS baseline_mae, round(sqrt(avg((y - p) * (y - p))), 4) AS baseline_rmse
+FROM s, m WHERE periodo_archivo IN {TEST}""")
+def household_freeze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the single test promises: it refits what was selected, refuses a second run, and knows its selection rows."""
+    panel = _panel(spark, sf_dir)
+    path = scratch_dir(spark, "final")
+    grid, test = evaluate_once(panel, preset.SPEC, TRAIN, VALID, TEST, path)
+    frozen = spark.read.parquet(f"{path}/frozen")
+    try:
+        evaluate_once(panel, preset.SPEC, TRAIN, VALID, TEST, path)
+        refused = False
+    except RuntimeError:
+        refused = True
+    rows = panel.where(F.col(preset.SPEC.period).isin(*TRAIN, *VALID)).select(preset.SPEC.record_id, *preset.SPEC.model_columns)
+    mark = one_row(fingerprint(rows), mark=F.max("fingerprint"))["mark"]
+    best = grid.results.groupBy("algorithm").agg(F.min("rmse").alias("best"))
+    promised = frozen.join(best, "algorithm").agg(
+        F.count(F.lit(1)).cast("int").alias("algorithms"),
+        F.bool_and(F.col("params") == _fitted_params(test)[F.col("algorithm")]).alias("refitted_as_selected"),
+        F.bool_and(F.col("rmse") == F.col("best")).alias("least_rmse"),
+        F.lit(refused).alias("second_test_refused"),
+        F.bool_and(F.col("selection_fingerprint") == mark).alias("fingerprint_of_selection"),
+    )
+    measured = test.metrics().where("model = 'baseline'").select(
+        F.col("n").alias("test_rows"), F.round("mae", 4).alias("baseline_mae"), F.round("rmse", 4).alias("baseline_rmse")
+    )
+    baseline = one_row(measured, **{c: F.max(c) for c in measured.columns})
+    return promised.select("*", baseline.alias("b")).select(*promised.columns, "b.*")
+
+
+def _fitted_params(test: FinalTest) -> Column:
+    """The parameters that the refitted models themselves report, written as in the table of results."""
+    names = {"linear": ("regParam", "elasticNetParam"), "forest": ("numTrees", "maxDepth")}
+    told = {a: str({n: m.getOrDefault(n) for n in names[a]}) for a, m in test.fitted.items()}
+    return F.create_map(*[F.lit(x) for pair in told.items() for x in pair])
 
 
 @query()
 def household_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _final(spark, sf_dir).errors()
+    return _final(spark, sf_dir)[1].errors()
 
 
 @query()
 def household_conclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _final(spark, sf_dir).conclusions()
+    return _final(spark, sf_dir)[1].conclusions()

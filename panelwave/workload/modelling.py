@@ -138,13 +138,12 @@ def best_by_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
 b AS (SELECT rmse AS v FROM metrics WHERE model = 'baseline'),
 h AS (SELECT model, count(*) FILTER (top) AS n, avg(target - p) FILTER (top) AS e,
  100.0 * count(*) FILTER (top AND target > p) / CAST(count(*) FILTER (top) AS DOUBLE) AS u FROM (SELECT *, band = '>=P95' AS top FROM long) GROUP BY 1),
-w AS (SELECT model, string_agg(t, '; ' ORDER BY t) AS t FROM (SELECT model, grouping || ' ' || label || ' (' || format('{{:,.2f}}', mae) || ')' AS t,
- row_number() OVER (PARTITION BY grouping, model ORDER BY mae DESC, label) AS k FROM errors WHERE grouping <> 'overall') WHERE k = 1 GROUP BY 1)
-SELECT m.model, format('{{}}: MAE {{:,.2f}}, RMSE {{:,.2f}}, R2 {{:,.4f}}, mean error {{:,.2f}}; RMSE {{:,.1f}}% below the baseline. It {{}} the top band (n={{}}): mean error {{:,.2f}}, {{:,.1f}}% positive residuals. Largest MAE: {{}}.',
- m.model, mae, rmse, r2, mean_error, 100.0 * (v - rmse) / v,
- CASE WHEN h.e > 0 AND h.u > 50 THEN 'systematically under-estimates' ELSE 'shows no systematic under-estimation of' END,
- format('{{:,}}', h.n), h.e, h.u, w.t) AS statement
-FROM metrics m JOIN h ON m.model = h.model JOIN w ON m.model = w.model, b""")
+w AS (SELECT *, row_number() OVER (PARTITION BY grouping, model ORDER BY mae DESC, label) AS k FROM errors WHERE grouping <> 'overall')
+SELECT model, 'all' AS subject, format('{{:,.2f}} MAE, {{:,.2f}} RMSE, {{:,.4f}} R2, {{:,.2f}} mean error, {{:,.1f}} % less RMSE than the baseline',
+ mae, rmse, r2, mean_error, 100.0 * (v - rmse) / v) AS statement FROM metrics, b
+UNION ALL SELECT model, 'top band', CASE WHEN e > 0 AND u > 50 THEN 'systematically too low: ' ELSE 'no systematic side: ' END ||
+ format('{{:,}} rows, {{:,.2f}} mean error, {{:,.1f}} % estimated too low', n, e, u) FROM h
+UNION ALL SELECT model, 'worst ' || grouping, label || ': ' || format('{{:,.2f}} MAE', mae) FROM w WHERE k = 1""")
 def conclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _banded(spark, sf_dir)
     gains = evaluate.improvement(evaluate.metrics(scored, "target", MODELS), "baseline")
@@ -191,7 +190,11 @@ def index_onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alphabetical index, and one-hot for four known levels with a slot for the rest."""
     panel = obs(spark, sf_dir).select("id", "segment")
     indexed = panel.join(models.index_codes(panel, "segment"), "segment").select("id", "segment", "idx")
-    return models.one_hot_columns(indexed, "segment", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"])
+    levels = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
+    features = models.feature_pipeline([], ["segment"], scale=False).fit(panel.where(F.col("segment").isin(levels)))
+    slots = vector_to_array(F.col("features_raw"))
+    named = [slots[i].cast("int").alias(f"segment_{level}") for i, level in enumerate([*levels, "__unknown"])]
+    return features.transform(indexed).select("id", "segment", "idx", *named)
 
 
 @query(f"""WITH {OBS_SQL} SELECT 'skip' AS invalid, count(*) AS rows FROM obs WHERE qty IS NOT NULL
@@ -292,7 +295,7 @@ def cluster_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = _cluster_input(spark, sf_dir)
     grid = segments.kmeans_grid(panel, "id", CLUSTER_COLUMNS)
     assigned = segments.assign(panel, grid.standardizer, grid.models[grid.chosen])
-    return segments.cluster_descriptions(assigned, "target", CLUSTER_COLUMNS, {"segment": {}, "status": {}})
+    return segments.cluster_descriptions(assigned, ["target", *CLUSTER_COLUMNS], {"segment": {}, "status": {}})
 
 
 @query()
@@ -329,8 +332,7 @@ def rf_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def model_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = _grid(spark, sf_dir, _configs("linear")[:1] + _configs("forest")[:1])
-    _, valid = _model_sides(spark, sf_dir)
-    return models.model_details(grid.features.transform(valid), grid.models, CATEGORIES)
+    return models.model_details(grid.features, grid.models, NUMERIC)
 
 
 @query("""SELECT count(*) AS compared_keys, CAST(0 AS BIGINT) AS changed_keys, CAST(0 AS BIGINT) AS beyond_tolerance,
@@ -354,9 +356,10 @@ def model_reload_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def frozen_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Selected configurations refitted on all earlier years, scored once on the last ones."""
+    """The configurations selected on the last of the earlier years, refitted on all of them, scored once on the rest."""
     train, test = _model_sides(spark, sf_dir)
-    frozen = {"linear": _configs("linear")[1], "forest": _configs("forest")[0]}
+    earlier, last = models.split_by_period(train, "year", TRAIN_YEARS[:-1], TRAIN_YEARS[-1:])
+    frozen = models.fit_grid(earlier, last, "id", "target", NUMERIC, CATEGORIES).frozen()
     features, fitted = models.refit(train, "id", "target", NUMERIC, CATEGORIES, frozen)
     scored = evaluate.predict_mean(train, models.score(test, features, fitted), "target")
     names = {"baseline": "pred_baseline", **{n: models.prediction_column(n) for n in fitted}}
