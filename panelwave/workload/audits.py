@@ -298,3 +298,12 @@ def sample_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, valid = sampling.random_split(table(spark, sf_dir, "orders").select("o_orderkey"), seed=2026)
     return train.withColumn("split", F.lit("train")).unionByName(valid.withColumn("split", F.lit("valid")))
+
+
+@query("SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS keys, true AS about_four_fifths FROM orders")
+def random_split_promises(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides of the random split together hold every row once; the first has its share, give or take five deviations."""
+    both = random_split(spark, sf_dir)
+    n = F.count(F.lit(1))
+    near = F.abs(F.count_if(F.col("split") == "train") - n * 0.8) <= 5 * F.sqrt(n * 0.8 * 0.2)
+    return both.agg(n.alias("rows"), F.count_distinct("o_orderkey").alias("keys"), near.alias("about_four_fifths"))

@@ -238,6 +238,26 @@ def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.fingerprint(orders(spark, sf_dir), ["period"])
 
 
+@query("""SELECT CAST(year(o_orderdate) AS VARCHAR) || 'T' || CAST(quarter(o_orderdate) AS VARCHAR) AS period, count(*) AS rows,
+ true AS same_in_other_layout, true AS sees_one_lost_value FROM orders GROUP BY 1""")
+def fingerprint_promises(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every period, against other partitions and against one value made NULL."""
+    now = orders(spark, sf_dir)
+    last = now.groupBy("period").agg(F.max("o_orderkey").alias("_last"))
+    price = F.when(F.col("o_orderkey") != F.col("_last"), F.col("o_totalprice"))
+    changed = now.join(last, "period").withColumn("o_totalprice", price).select(*now.columns)
+    moved = now.repartition(5, "o_custkey")
+    marks = [
+        manifest.fingerprint(df, ["period"]).withColumnsRenamed({"rows": f"rows_{name}", "fingerprint": name})
+        for name, df in (("now", now), ("moved", moved), ("changed", changed))
+    ]
+    both = marks[0].join(marks[1], "period").join(marks[2], "period")
+    return both.select(
+        "period", F.col("rows_now").alias("rows"), (F.col("now") == F.col("moved")).alias("same_in_other_layout"),
+        (F.col("now") != F.col("changed")).alias("sees_one_lost_value"),
+    )
+
+
 @query("""SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) || 'T' || CAST(quarter(o_orderdate) AS VARCHAR) AS period
 FROM orders WHERE year(o_orderdate) = 1999 AND quarter(o_orderdate) = 1 OR year(o_orderdate) = 1998 AND quarter(o_orderdate) = 2""")
 def incremental_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
