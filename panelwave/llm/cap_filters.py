@@ -3,8 +3,9 @@
 Filter directions form structured random product codes: after a seeded rotation the space is cut in two halves, each
 with its own list of random unit codewords, and every pair of codewords is one direction. A vector belongs to all
 directions whose inner product exceeds a threshold; they are found by decoding the two lists, not by trying all pairs.
-Several codes with their own rotations serve vectors that one code covers thinly: of pairs at the threshold 0.9 under
-one in a thousand shares no filter, of closer pairs fewer.
+Several codes with their own rotations serve vectors that one code covers thinly. The threshold follows from the caps of
+the sphere in the vectors' dimension: pairs at the cosine asked for share 30 filters on average, however many directions
+there are, and in 64 dimensions under one in a thousand shares none; of closer pairs fewer.
 Vectors that share a filter are compared by cosine in double precision.
 """
 
@@ -12,9 +13,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -27,24 +27,63 @@ from panelwave.llm.components import components
 
 #: Vectors of a filter compared within one task at a time; larger groups are dealt over tiles.
 GROUP_ROWS = 2048
+#: Filters of a vector on average from which on fewer codewords serve.
+MOST_FILTERS = 256
 PAYLOAD = ["key", "node", "size", "vec", "lower"]
 DEALT = "key long, node long, size long, vec binary, lower binary"
 
 
 @dataclass(frozen=True)
 class Code:
-    """Codewords per half, filters of a code that a vector exceeds on average, and the number of codes."""
+    """Codewords per half, filters that two vectors at cosine ``least`` share on average, and the number of codes."""
 
     words: int
-    filters: float = 12.0
+    shared: float = 30.0
     codes: int = 6
     seed: int = 20
+    least: float = 0.9
 
     @classmethod
-    def sized(cls, rows: int, occupancy: int = 4) -> Code:
-        """So many directions that the vectors per filter stay the same at every number of rows."""
+    def sized(cls, rows: int, occupancy: int = 4, least: float = 0.9) -> Code:
+        """So many directions that a filter of fixed size holds as many vectors at every number of rows."""
         half = math.ceil(math.log2(max(1.0, rows / occupancy)) / 2)
-        return cls(2 ** min(14, max(4, half)))
+        return cls(2 ** min(14, max(4, half)), least=least)
+
+
+def cap(dim: int, height: np.ndarray) -> np.ndarray:
+    """Share of the unit sphere in ``dim`` dimensions whose inner product with a fixed unit vector is ``height`` or more."""
+    angle = np.linspace(0, math.pi, 20_001)
+    rising = np.sin(angle) ** (dim - 2)
+    below = np.concatenate([[0], np.cumsum(rising[1:] + rising[:-1])])
+    return np.interp(np.arccos(np.clip(height, -1, 1)), angle, below / below[-1])
+
+
+@lru_cache(maxsize=256)
+def threshold(code: Code, dim: int) -> float:
+    """Inner product from which a vector belongs to a filter.
+
+    A direction is a unit vector, turned at random: it exceeds the threshold for both vectors of a pair at cosine
+    ``code.least`` with a chance known from the caps of the sphere, and ``code.shared`` directions are to do so.
+    """
+    if dim < 3:
+        # Only four directions a code: the best of each serves.
+        return math.inf
+    wanted = code.shared / (code.codes * code.words**2)
+    c = min(max(code.least, -0.999), 0.999999)
+
+    def both(height: float) -> float:
+        angle = np.linspace(0, math.acos(height), 2001)
+        x = np.cos(angle)
+        rest = math.sqrt(1 - c * c) * np.maximum(np.sin(angle), 1e-300)
+        rising = np.sin(angle) ** (dim - 2) * cap(dim - 1, (height - c * x) / rest)
+        whole = math.sqrt(math.pi) * math.exp(math.lgamma((dim - 1) / 2) - math.lgamma(dim / 2))
+        return float(np.sum(rising[1:] + rising[:-1]) / 2 * (angle[1] - angle[0]) / whole)
+
+    low, high = 0.0, 1.0
+    for _ in range(50):
+        middle = (low + high) / 2
+        low, high = (middle, high) if both(middle) >= wanted else (low, middle)
+    return low
 
 
 @lru_cache(maxsize=32)
@@ -58,8 +97,17 @@ def codebook(code: Code, dim: int, number: int) -> tuple[np.ndarray, np.ndarray,
     return turn, first, second
 
 
+@lru_cache(maxsize=256)
+def fitted(code: Code, dim: int) -> Code:
+    """The code with as many codewords as ``dim`` bears: in few dimensions more directions only part close vectors."""
+    while dim > 2 and code.words > 4 and code.codes * code.words**2 * cap(dim, threshold(code, dim)) > MOST_FILTERS:
+        code = replace(code, words=code.words // 2)
+    return code
+
+
 def decode(code: Code, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter), ordered, for every filter that a row of unit vectors exceeds; the best of each code belongs."""
+    code = fitted(code, unit.shape[1])
     found = [decode_one(code, unit, number) for number in range(code.codes)]
     rows = np.concatenate([r for r, _ in found])
     filters = np.concatenate([f + number * code.words**2 for number, (_, f) in enumerate(found)])
@@ -74,7 +122,7 @@ def decode_one(code: Code, unit: np.ndarray, number: int) -> tuple[np.ndarray, n
     half = first.shape[1]
     left = turned[:, :half] @ first.T
     right = (turned[:, half:] if dim > half else turned[:, :1] * 0) @ second.T
-    least = NormalDist().inv_cdf(1 - min(0.5, code.filters / code.words**2)) / math.sqrt(dim)
+    least = threshold(code, dim)
     order = np.argsort(-right, axis=1)
     falling = np.take_along_axis(right, order, axis=1)
     rows, i = np.nonzero(left >= least - falling[:, :1])
@@ -160,15 +208,15 @@ def near_vectors(
     )
     classes = rows.where("vec is not null").groupBy("vec").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("least_id"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
-    chosen = code or Code.sized(classes.count())
+    chosen = code or Code.sized(classes.count(), least=least)
     single = vectors.schema[vector_col].dataType == ArrayType(FloatType(), True)
     kind = "<f4" if single else "<f8"
 
     def filtered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, same in batch.groupby(batch["vec"].map(len)):
-                for begin in range(0, len(same), 512):
-                    some = same.iloc[begin : begin + 512]
+                for begin in range(0, len(same), 256):
+                    some = same.iloc[begin : begin + 256]
                     x = np.stack(some["vec"].to_numpy())
                     row, filters = decode(chosen, unit_rows(x))
                     begins = np.searchsorted(row, np.arange(len(some)))

@@ -38,6 +38,27 @@ def test_vectors(spark, rows):
     assert got == {i: (close[i].sum(), roots[i], roots[i] == i) for i in range(len(x))}
 
 
+@pytest.mark.parametrize("words", [128, 1024])
+def test_vectors_share_filters(words):
+    rng = np.random.default_rng(8)
+    u, side = cap_filters.unit_rows(rng.standard_normal((1000, 64))), rng.standard_normal((1000, 64))
+    side = cap_filters.unit_rows(side - (side * u).sum(axis=1, keepdims=True) * u)
+    code = cap_filters.Code(words)
+    found = [set(zip(*(x.tolist() for x in cap_filters.decode(code, v)), strict=True)) for v in (u, 0.9 * u + np.sqrt(0.19) * side)]
+    shared = np.bincount([row for row, _ in found[0] & found[1]], minlength=1000)
+    assert (shared == 0).sum() <= 2 and shared.mean() >= 25
+
+
+def test_vectors_many_directions(spark):
+    rng = np.random.default_rng(9)
+    x = np.repeat(cap_filters.unit_rows(rng.standard_normal((60, 64))), 4, axis=0)
+    x += 0.29 / 8 * rng.standard_normal(x.shape)
+    close = (unit := cap_filters.unit_rows(x)) @ unit.T >= 0.9
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in cap_filters.near_vectors(df, code=cap_filters.Code(1024)).collect()}
+    assert got == {i: close[i].sum() - 1 for i in range(len(x))} and sum(got.values()) > 300
+
+
 def plain_fingerprint(text):
     words = [w for w in "".join(c.lower() if c.isascii() else c for c in text).replace("\t", " ").replace("\n", " ").split(" ") if w]
     if not words:
