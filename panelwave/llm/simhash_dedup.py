@@ -3,6 +3,8 @@
 Words are the runs outside ASCII white space of the text with A-Z in lower case; shingles are ``width`` words joined by
 one space, repeats included; a shorter text is one shingle, a text without words has fingerprint zero. A NULL text is
 empty, a NULL id stays a row of its own. Equal fingerprints (and so repeated rows) are one node of the search.
+
+``first_of_similar``, the pipeline's stage, then compares the rows that stay by sets of five-word shingles.
 """
 
 from __future__ import annotations
@@ -27,25 +29,35 @@ BLOCKS = 7
 #: Rows of a block value compared within one task at a time; larger groups are dealt over tiles.
 GROUP_ROWS = 2048
 SHINGLES_AT_ONCE = 1 << 16
+#: MinHash bands and the values of a band: two texts at similarity 0.8 agree in no band once in 14,000 pairs.
+BANDS, BAND = 24, 5
 
 
-def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
-    """Unsigned 64-bit SimHash of one text."""
+def shingle_hashes(text: str | None, width: int, seed: int = 42) -> Iterator[bytes]:
+    """Big-endian 64-bit hashes of the shingles of one text, up to ``SHINGLES_AT_ONCE`` in one piece."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     span = min(width, len(words))
     starts, ends = starts[: len(words) - span + 1].tolist(), ends[span - 1 :].tolist()
-    counts = np.zeros(BITS, np.int64)
     digest = xxhash.xxh64_digest
     for k in range(0, len(starts), SHINGLES_AT_ONCE):
         some = zip(starts[k : k + SHINGLES_AT_ONCE], ends[k : k + SHINGLES_AT_ONCE], strict=True)
-        hashes = np.frombuffer(b"".join([digest(line[a:b], seed) for a, b in some]), np.uint8)
+        yield b"".join([digest(line[a:b], seed) for a, b in some])
+
+
+def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
+    """Unsigned 64-bit SimHash of one text."""
+    counts = np.zeros(BITS, np.int64)
+    n = 0
+    for piece in shingle_hashes(text, width, seed):
+        hashes = np.frombuffer(piece, np.uint8)
         counts += np.unpackbits(hashes).reshape(-1, BITS).sum(axis=0, dtype=np.int32)
-    return int.from_bytes(np.packbits(2 * counts > len(starts)).tobytes(), "big")
+        n += len(piece) // 8
+    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int = 4) -> DataFrame:
@@ -172,3 +184,66 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     chosen = docs.join(heads, same)
     repeated = chosen.where(F.col(times) > 1).dropDuplicates([of_id, of_text])
     return chosen.where(F.col(times) == 1).union(repeated).select(*docs.columns)
+
+
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """The distinct shingle hashes of one text, ordered."""
+    return np.unique(np.frombuffer(b"".join(shingle_hashes(text, width)), ">u8").astype(np.uint64))
+
+
+def band_keys(shingles: np.ndarray, seed: int = 42) -> np.ndarray:
+    """One key for each band of MinHash values of a set that is not empty."""
+    rng = np.random.default_rng(seed)
+    times, plus = rng.integers(0, 1 << 64, (2, BANDS * BAND, 1), np.uint64)
+    least = np.full(BANDS * BAND, np.iinfo(np.uint64).max)
+    for k in range(0, len(shingles), 4096):
+        least = np.minimum(least, ((times | np.uint64(1)) * shingles[k : k + 4096] + plus).min(axis=1))
+    weights = rng.integers(0, 1 << 64, (BANDS, BAND), np.uint64) | np.uint64(1)
+    return (least.reshape(BANDS, BAND) * weights).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def similar_links(docs: DataFrame, text_col: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
+    """Links ``a``, ``b`` between hashes of different texts whose shingle sets have Jaccard similarity ``least`` or more.
+
+    Candidates agree in a band of MinHash values; each is verified on the exact sets. The texts are read twice: for the
+    bands, and for the sets of the candidates only.
+    """
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for th, text in zip(batch.column(0), batch.column(1), strict=True):
+                own = shingle_set(text.as_py(), width)
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array([th.as_py()] * BANDS, pa.int64()), pa.array(band_keys(own))], ["th", "key"])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t.as_py(), width).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["th", "own"])
+
+    text = whole_text(text_col)
+    source = docs.select(F.xxhash64(text).alias("th"), text.alias("text"))
+    dealt = stored(source.mapInArrow(keys, "th long, key long"), "minhash-keys")
+    pairs = dealt.withColumnRenamed("th", "a").join(dealt.withColumnRenamed("th", "b"), "key").where("a < b")
+    pairs = stored(pairs.select("a", "b").distinct(), "similar-pairs")
+    members = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "th")
+    known = stored(source.join(members, "th", "left_semi").mapInArrow(sets, "th long, own array<long>"), "shingle-sets")
+    both = pairs.join(known.toDF("a", "of_a"), "a").join(known.toDF("b", "of_b"), "b")
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    return both.where(common / (F.size("of_a") + F.size("of_b") - common) >= least).select("a", "b")
+
+
+def first_of_similar(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8
+) -> DataFrame:
+    """Rows of ``first_of_each``, of which no two texts are at shingle similarity ``least`` or more; all columns.
+
+    Of the texts that links join, the one with the smallest id stays; NULL ids come last.
+    """
+    once = stored(first_of_each(docs, id_col, text_col), "first-of-each")
+    roots = components(similar_links(once, text_col, width, least), "a", "b").toDF("th", "root")
+    named = once.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(whole_text(text_col)).alias("th"))
+    placed = stored(named.join(roots, "th"), "similar-groups")
+    heads = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("h"))
+    later = placed.join(heads, "root").where("th <> h.th").select(F.col("th").alias(of_text := fresh(docs, "_text")[0]))
+    return once.join(later, F.xxhash64(whole_text(text_col)) == later[of_text], "left_anti")

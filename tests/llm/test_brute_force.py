@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from panelwave.llm import cap_filters, decontaminate, simhash_dedup, token_files
 from panelwave.llm.components import components
 
@@ -92,6 +93,29 @@ def test_simhash(spark, rows):
     assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(roots.values()))
 
 
+def test_first_of_similar(spark):
+    rng = np.random.default_rng(7)
+    texts = []
+    for _ in range(40):
+        words = [f"W{v}" for v in rng.integers(0, 500, int(rng.integers(60, 200)))]
+        texts.append(words)
+        for changes in (1, 2, 3, 4, 5, 8):
+            near = list(words)
+            for k in rng.integers(0, len(near), changes):
+                near[int(k)] = "É"
+            texts.append(near)
+    sets = [{tuple(" ".join(t).lower().split()[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+
+    def similar(rows):
+        return [(a, b) for a in rows for b in rows if b < a and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    first = sorted(r["doc_id"] for r in simhash_dedup.first_of_each(df).collect())
+    roots = least_reachable(similar(first), first)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, df, "").collect())
+    assert similar(first) and kept == sorted(set(roots.values()))
+
+
 def test_decontamination(spark):
     rng = np.random.default_rng(6)
     items = [[f"w{v}" for v in rng.integers(0, 12, n)] for n in (9, 14, 20, 30)]
