@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Content that is never text.
 SILENT = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "canvas", "math"}
+#: What an open head may hold; anything else closes it, as its end tag may be left out.
+IN_HEAD = {"base", "basefont", "bgsound", "head", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
 #: Elements around the main text: menus, headers, footers, sidebars, forms.
 AROUND = {"nav", "footer", "aside", "form", "button", "select", "option", "textarea", "dialog", "menu"}
 BLOCKS = set(
@@ -35,7 +37,8 @@ OUTSIDE = re.compile(
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
 )
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: One attribute of a tag, name and value together; stray quoted text is passed over.
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
 RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "textarea", "title", "noscript", "iframe")}
 SPACE = re.compile(r"\s+")
 #: Short function words of the languages the pages use. They only weigh where the markup does not decide.
@@ -75,6 +78,8 @@ def blocks_of(page: str) -> list[Block]:
         links.clear()
 
     def write(text: str) -> None:
+        if stack[-1][0] == "head" and text.strip():
+            stack.pop()
         if text and not stack[-1][1]:
             parts.append(text)
             if stack[-1][4]:
@@ -101,6 +106,8 @@ def blocks_of(page: str) -> list[Block]:
                 if name not in ENDS_PARAGRAPH and stack[k][0] in ENDS_PARAGRAPH:
                     break
             continue
+        if stack[-1][0] == "head" and name not in IN_HEAD:
+            stack.pop()
         if name == "br":
             write(" ")
             continue
@@ -118,7 +125,10 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID or m[3].rstrip().endswith("/"):
             continue
         _, silent, outside, inside, link = stack[-1]
-        marks = {a[1].lower(): (a[2] or a[3] or a[4] or "").lower() for a in ATTRIBUTE.finditer(m[3])}
+        marks: dict[str, str] = {}
+        for a in ATTRIBUTE.finditer(m[3]):
+            if a[1]:
+                marks.setdefault(a[1].lower(), (a[2] or a[3] or a[4] or "").lower())
         if "hidden" in marks or marks.get("aria-hidden") == "true" or "display:none" in marks.get("style", "").replace(" ", ""):
             silent = True
         if name in AROUND or (name == "header" and not inside):

@@ -147,6 +147,22 @@ def test_html(spark):
     assert html_blocks.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("tag", ['data-hidden="false"', 'title="hidden gems"', 'data-overflow="hidden"', "href=/hidden-costs", "data-style='display:none'", 'data-class="sidebar"'])
+def test_html_attributes(tag):
+    assert html_blocks.main_text(f"<body {tag}><article {tag}><p {tag}>The text of <a {tag}>it</a>.</p></article>") == "The text of it."
+
+
+@pytest.mark.parametrize("tag", ["hidden", 'id="x" HIDDEN', 'hidden=""', "aria-hidden='true'", 'style="display: none"'])
+def test_html_hidden(tag):
+    assert html_blocks.main_text(f"<article><p {tag}>Not this.</p><p>But this.</p></article>") == "But this."
+
+
+@pytest.mark.parametrize("start", ["<body>", "<div>", "<!-- c --><main>", "", "</head><body>"])
+def test_html_open_head(start):
+    page = f"<html><head><meta charset=utf-8><title>Name</title><style>p {{}}</style>\n{start}<article><p>The text.</p></article>"
+    assert html_blocks.main_text(page) == "The text."
+
+
 def test_vectors(spark):
     bad = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0])]
     good = [(9, [1.0, 0.0]), (8, [2.0, 0.0]), (10, [1.0, 0.0]), (10, [1.0, 0.0]), (11, [0.0, -1.0]), (12, [1.0, 0.0, 0.0]), (None, [0.0, -1.0])]
