@@ -8,8 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwave.llm import cap_filters, decontaminate, html_blocks, langid, mil_quality, mixing, ordinal_toxicity
-from panelwave.llm import secret_ledger, simhash_dedup, token_files
+from panelwave.llm import alignment, cap_filters, decontaminate, divergence, html_blocks, langid, mil_quality, mixing
+from panelwave.llm import ordinal_toxicity, run_index, secret_ledger, simhash_dedup, token_files
 from panelwave.llm.common import crc_of_id, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -72,6 +72,22 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of each language from each other, and their most telling terms."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two public tokenizers, counted over all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return alignment.aligned(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_long_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each text without the bytes of 400-byte strings that start anywhere else too."""
+    return run_index.without_long_matches(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,7 +109,8 @@ QUERIES = {
     q.__name__: reachable(q)
     for q in (
         op1_vector_dedup, op2_language_id, op3_quality, op4_token_files, op5_html_text, op6_decontamination,
-        op7_simhash_dedup, op8_toxicity, op9_secret_scan, op10_source_mix, pipeline,
+        op7_simhash_dedup, op8_toxicity, op9_secret_scan, op10_source_mix,
+        op11_source_divergence, op12_token_alignment, op13_long_matches, pipeline,
     )
 }
 MIX_SQL = r"""
@@ -142,4 +159,31 @@ found AS (SELECT doc_id, {counts},
 SELECT doc_id, {out}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN found USING (doc_id)"""
 
 
-SQL: dict[str, str] = {"op9_secret_scan": _secret_sql(), "op10_source_mix": MIX_SQL}
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+w AS (SELECT lang, source, doc, unnest(words) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY ALL HAVING count(DISTINCT doc) >= 10),
+l AS (SELECT lang, count(*) AS v, CAST(sum(lang_n) AS HUGEINT) AS lang_total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+t AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+s AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n,
+    CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 2) // (CAST(coalesce(total, 0) AS HUGEINT) + 2 * v) AS BIGINT) AS p,
+    CAST(1 + CAST(1000000000 AS HUGEINT) * (lang_n + 2) // (lang_total + 2 * v) AS BIGINT) AS q
+  FROM g JOIN kept USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+  LEFT JOIN t ON t.lang = g.lang AND t.source = g.source),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM s AS a JOIN s AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM s WHERE n > 0 AND p > q),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r)
+SELECT * FROM o WHERE part = 'pair' OR rank <= 10"""
+
+
+SQL: dict[str, str] = {
+    "op9_secret_scan": _secret_sql(), "op10_source_mix": MIX_SQL, "op11_source_divergence": DIVERGENCE_SQL,
+}
