@@ -19,9 +19,13 @@ table gives no rows. Texts are encoded whole; a long one is a chunk of its own.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +42,13 @@ CHUNK_DOCS = 20_000
 #: Text bytes handed to the tokenizers at a time, if more than one text.
 ENCODE_BYTES = 256 << 10
 #: Windows that a worker remembers, and the longest of them in tokens of A; more are worked out anew.
-MEMO_WINDOWS = 150_000
+MEMO_WINDOWS = 300_000
 MEMO_TOKENS = 64
+#: Links of a group up to which they are listed one by one.
+SMALL_GROUP = 256
+#: Texts of these characters, whose classes no release of Unicode has changed, take the faster of two equal encoders.
+RANKED_CHARACTERS = 200_000
+SETTLED = re.compile(r"[\n\t\r -~\u00a0-\u024f\u2010-\u2027]*")
 
 ENCODED = (
     "chunk long, id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, groups string, "
@@ -60,7 +69,8 @@ class Vocabulary:
 
     def __init__(self, pieces: list[bytes]):
         self.pieces = pieces
-        self.sizes = np.array([len(p) for p in pieces], np.int64)
+        self.by_id = [len(p) for p in pieces]
+        self.sizes = np.array(self.by_id, np.int64)
         self.spaced = np.array([p[:1] == b" " for p in pieces])
 
     def spells(self, ids: list[int], text: bytes) -> bool:
@@ -70,7 +80,9 @@ class Vocabulary:
 
 @lru_cache(maxsize=4)
 def byte_level(path: str):
-    """Tokenizer A, which takes the strings of special tokens for plain text, and its vocabulary."""
+    """Tokenizer A, which takes the strings of special tokens for plain text, its vocabulary, and a second encoder."""
+    import public_tokenizers
+    import tiktoken
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -79,7 +91,10 @@ def byte_level(path: str):
     pieces = [b""] * tokenizer.get_vocab_size()
     for token, i in tokenizer.get_vocab().items():
         pieces[i] = bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
-    return tokenizer, Vocabulary(pieces)
+    special = set(tokenizer.get_added_tokens_decoder())
+    ranks = {piece: i for i, piece in enumerate(pieces) if i not in special}
+    ranked = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tokenizer, Vocabulary(pieces), ranked
 
 
 @lru_cache(maxsize=4)
@@ -95,54 +110,81 @@ def piece_level(path: str):
     return model, Vocabulary(pieces)
 
 
-class Window:
-    """Groups and links of one window: the groups as text, their number, all links, the distinct pairs and their times."""
-
-    __slots__ = ("links", "n_groups", "pairs", "text", "times")
-
-    def __init__(self, a: list[int], b: list[int], size_a: list[int], size_b: list[int]):
-        texts, keys, times = [], [], []
-        self.links = 0
-        i = j = from_i = from_j = end_a = end_b = 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b and i < len(a):
-                end_a += size_a[i]
+class Window(NamedTuple):
+    """Groups of one window as text, their number, the number of links, their pairs, and how often each is meant (None: once)."""
+
+    text: str
+    n_groups: int
+    links: int
+    pairs: list[int]
+    times: list[int] | None
+
+
+def cut_window(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> Window:
+    """Cuts one window, at whose end tokens of both end, where tokens of both end; sizes are by id."""
+    texts, pairs, times = [], [], None
+    i = j = links = 0
+    while i < len(a):
+        from_i, from_j, x, y = i, j, a[i], b[j]
+        end_a, end_b = size_a[x], size_b[y]
+        i += 1
+        j += 1
+        if end_a == end_b:
+            texts.append(f"{x}|{y}")
+            pairs.append(x << 32 | y)
+            if times is not None:
+                times.append(1)
+            links += 1
+            continue
+        while end_a != end_b:
+            if end_a < end_b:
+                end_a += size_a[a[i]]
                 i += 1
             else:
-                end_b += size_b[j]
+                end_b += size_b[b[j]]
                 j += 1
-            if end_a == end_b:
-                of_a, of_b = a[from_i:i], b[from_j:j]
-                texts.append(f"{','.join(map(str, of_a))}|{','.join(map(str, of_b))}")
-                self.links += len(of_a) * len(of_b)
-                x, n = np.unique(np.array(of_a, np.int64), return_counts=True)
-                y, m = np.unique(np.array(of_b, np.int64), return_counts=True)
-                keys.append(((x[:, None] << 32) | y).ravel())
-                times.append((n[:, None] * m).ravel())
-                from_i, from_j = i, j
-        self.text, self.n_groups = ";".join(texts), len(texts)
-        self.pairs, self.times = summed(np.concatenate(keys), np.concatenate(times))
+        of_a, of_b = a[from_i:i], b[from_j:j]
+        texts.append(f"{','.join(map(str, of_a))}|{','.join(map(str, of_b))}")
+        n = len(of_a) * len(of_b)
+        if n <= SMALL_GROUP:
+            pairs += [x << 32 | y for x in of_a for y in of_b]
+            if times is not None:
+                times += [1] * n
+        else:
+            times = [1] * links if times is None else times
+            x, n_x = np.unique(np.array(of_a, np.int64), return_counts=True)
+            y, n_y = np.unique(np.array(of_b, np.int64), return_counts=True)
+            pairs += ((x[:, None] << 32) | y).ravel().tolist()
+            times += (n_x[:, None] * n_y).ravel().tolist()
+        links += n
+    return Window(";".join(texts), len(texts), links, pairs, times)
 
 
 def summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys with the sums of their times."""
     distinct, at = np.unique(keys, return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, at, times)
-    return distinct, total
+    order = np.argsort(at, kind="stable")
+    starts = np.searchsorted(at[order], np.arange(len(distinct)))
+    return distinct, np.add.reduceat(times[order], starts)
 
 
 class Aligner:
     """Aligns documents by remembered windows."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.vocabulary_a = byte_level(path_a)
+        self.a, self.vocabulary_a, self.ranked = byte_level(path_a)
         self.b, self.vocabulary_b = piece_level(path_b)
         self.memo: dict[tuple[bytes, bytes], Window] = {}
 
+    def encode_a(self, text: str) -> list[int]:
+        """Ids of A. The ids of its vocabulary are the ranks of its merges, by which the second encoder gives the same."""
+        if len(text) <= RANKED_CHARACTERS and SETTLED.fullmatch(text):
+            return self.ranked.encode_ordinary(text)
+        return self.a.encode(text, add_special_tokens=False).ids
+
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of A and B for each text; none where they do not spell it."""
-        of_a = [self.a.encode(f" {t}", add_special_tokens=False).ids for t in texts]
+        of_a = [self.encode_a(f" {t}") for t in texts]
         for text, a, b in zip(texts, of_a, self.b.encode(texts, num_threads=1), strict=True):
             whole = b" " + text.encode("utf-8", "surrogatepass")
             spelt = text and self.vocabulary_a.spells(a, whole) and self.vocabulary_b.spells(b, whole)
@@ -167,7 +209,7 @@ class Aligner:
             key = (bytes_a[4 * i : 4 * to_i], bytes_b[4 * j : 4 * to_j])
             window = memo.get(key)
             if window is None:
-                window = Window(ids_a[i:to_i], ids_b[j:to_j], size_a[i:to_i].tolist(), size_b[j:to_j].tolist())
+                window = cut_window(ids_a[i:to_i], ids_b[j:to_j], self.vocabulary_a.by_id, self.vocabulary_b.by_id)
                 if to_i - i <= MEMO_TOKENS:
                     if len(memo) >= MEMO_WINDOWS:
                         memo.clear()
@@ -183,13 +225,10 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 
 def document_links(windows: list[Window]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct pairs of a document and how often it holds each."""
-    often: dict[int, int] = {}
-    of = {}
-    for w in windows:
-        often[id(w)] = often.get(id(w), 0) + 1
-        of[id(w)] = w
-    pairs = np.concatenate([of[k].pairs for k in often])
-    return summed(pairs, np.concatenate([of[k].times * n for k, n in often.items()]))
+    pairs = np.fromiter(chain.from_iterable([w.pairs for w in windows]), np.int64)
+    if all([w.times is None for w in windows]):
+        return np.unique(pairs, return_counts=True)
+    return summed(pairs, np.fromiter(chain.from_iterable([w.times or [1] * len(w.pairs) for w in windows]), np.int64))
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -215,6 +254,13 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: st
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # no cycles arise, and remembered windows need no scan
+        try:
+            yield from chunks_of(batches)
+        finally:
+            gc.enable()
+
+    def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         align = aligner(path_a, path_b)
         none = np.empty(0, np.int64)
         chunk, rows, size = TaskContext.get().partitionId() << 32, [], 0

@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from panelwave.llm import alignment
@@ -41,7 +42,7 @@ def groups_of(a, b):
 
 
 def expected(rows):
-    tok, va = alignment.byte_level(tokenizer_path(A))
+    tok, va, _ = alignment.byte_level(tokenizer_path(A))
     model, vb = alignment.piece_level(tokenizer_path(B))
     docs = []
     for i, text in rows:
@@ -92,3 +93,15 @@ def test_byte_characters_cover_every_byte():
     of = alignment.byte_characters()
     assert sorted(of.values()) == list(range(256))
     assert of["Ġ"] == 32 and of["Ċ"] == 10
+
+
+def test_both_encoders_of_a_agree():
+    aligner = alignment.aligner(tokenizer_path(A), tokenizer_path(B))
+    rng = np.random.default_rng(7)
+    settled = [chr(c) for c in range(0x250) if alignment.SETTLED.fullmatch(chr(c))] + list("\u2014\u2019\u201c") * 3 + list(" 'sstre  \n") * 9
+    for _ in range(4000):
+        text = "".join(rng.choice(settled, rng.integers(0, 60)))
+        assert alignment.SETTLED.fullmatch(text)
+        assert aligner.ranked.encode_ordinary(text) == aligner.a.encode(text, add_special_tokens=False).ids
+    for text in ("a" * 5000, " " * 3000, "ab " * 900, "\n\n \n" * 500, "é" * 999, "<|endoftext|>" * 50):
+        assert aligner.ranked.encode_ordinary(text) == aligner.a.encode(text, add_special_tokens=False).ids
