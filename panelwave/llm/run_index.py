@@ -4,8 +4,8 @@ A byte goes if a string of ``length`` bytes that covers it starts anywhere else
 Texts are UTF-8 bytes, matches never cross texts, and every place of a repeated string is removed, the first included.
 
 Routing. Each window of ``length`` bytes has an anchor: the rightmost least hash of its ``GRAM``-byte grams, a function of
-the window alone. So two equal windows lie at the same offset to anchors with the same key. A region is what all windows
-of one anchor cover; equal regions are one node, and a node with several places matches itself. Only keys with several
+the window alone. So two equal windows lie at the same offset to anchors with the same key. A region is what the windows
+with one anchor cover; equal regions are one node, and a node with several places matches itself. Only keys with several
 nodes go further: the regions of a key meet in one task.
 
 Index. A task concatenates the regions of some keys, sorts the suffixes, and keeps the Burrows-Wheeler transform as runs
@@ -42,14 +42,16 @@ GRAM = 64
 #: Window starts whose anchors are searched at a time.
 STARTS_AT_ONCE = 1 << 20
 #: Bytes of regions in one index, and regions of one key that enter it together; both bound the memory of a task.
-INDEX_BYTES = 2 << 20
+INDEX_BYTES = 256 << 10
 GROUP_NODES = 1024
 #: A 63-bit word holds so many symbols of 9 bits.
 SYMBOLS = 7
 
-ANCHORS = "th binary, n int, p int, key long, rh long"
-#: lo, hi: least and greatest start of a window less the anchor's place p; first: place of the region's first byte.
-REGIONS = "key long, rh long, lo int, hi int, th binary, p int, first int, region binary, many boolean"
+#: a, b: the range of the region in its text.
+ANCHORS = "th binary, p int, a int, b int, key long, rh long"
+#: lo, hi: least and greatest start of a window less the anchor's place p; first: place of the region's first byte;
+#: many: the region has several places; nodes: distinct regions of the key.
+REGIONS = "key long, rh long, lo int, hi int, th binary, p int, first int, region binary, many boolean, nodes long"
 MARKS = "th binary, a int, b int"
 
 
@@ -79,30 +81,33 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:-rest], out[rest:]) if rest else out
 
 
-def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Places and keys of the anchors of all windows of ``length`` bytes: in each the rightmost of the least gram hashes."""
+def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of all windows of ``length`` bytes, in each the rightmost of the least gram hashes: place, key, and the
+    range of bytes that the windows with this anchor cover. They are neighbours, so each window is in one range.
+    """
     width = length - gram + 1
-    places, keys = [], []
+    found = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
     for begin in range(0, len(data) - length + 1, STARTS_AT_ONCE):
         part = data[begin : begin + STARTS_AT_ONCE + length - 1]
         hashes = gram_hashes(part, gram)
         least = sliding_least(hashes, width)
         newest = np.flatnonzero(hashes[width - 1 :] == least)  # windows whose last gram is the anchor
-        found = [newest + width - 1]
         # Between them a window needs a search when the anchor before it has left.
         until = np.append(newest, len(least))
         since = np.append([0], newest + width)
+        first, place = [], []
         for j, stop in zip(since[since < until].tolist(), until[since < until].tolist(), strict=True):
             while j < stop:
+                first.append(j)
                 j += width - int(np.argmax(hashes[j : j + width][::-1] == least[j]))
-                found.append(np.array([j - 1]))
-        chosen = np.unique(np.concatenate(found))
-        places.append(chosen + begin)
-        keys.append(hashes[chosen])
-    if not places:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    chosen, first = np.unique(np.concatenate(places), return_index=True)
-    return chosen, np.concatenate(keys)[first]
+                place.append(j - 1)
+        first = np.concatenate([newest, np.array(first, np.int64)])
+        place = np.concatenate([newest + width - 1, np.array(place, np.int64)])
+        by = np.argsort(first)
+        first, place = first[by], place[by]
+        found.append((place + begin, hashes[place], first + begin, np.append(first[1:], len(least)) + begin + length - 1))
+    places, keys, begins, ends = (np.concatenate(c) for c in zip(*found, strict=True))
+    return places, keys, begins, ends
 
 
 class RunIndex:
@@ -141,27 +146,32 @@ class RunIndex:
     def _suffixes(self) -> np.ndarray:
         """All suffixes in order, by prefix doubling of those not yet told apart; separators rank by their place."""
         n = len(self.words)
-        order = np.argsort(self.words, kind="stable")
-        sorted_words = self.words[order]
+        order = np.argsort(self.words)
+        words, ends = self.words[order], np.flatnonzero(self.left[order] < SYMBOLS)
+        # Words that reach a separator equal only each other, and follow the order of their regions.
+        order[ends] = order[ends][np.lexsort((order[ends], words[ends]))]
         fresh = np.ones(n, bool)
-        fresh[1:] = (sorted_words[1:] != sorted_words[:-1]) | (self.left[order][1:] < SYMBOLS)
-        rank = np.empty(n, np.int64)
-        slots = np.arange(n)
+        fresh[1:] = words[1:] != words[:-1]
+        fresh[ends] = True
+        order = order.astype(np.int32)
+        rank = np.empty(n, np.int32)
+        slots = np.arange(n, dtype=np.int32)
         rank[order] = np.maximum.accumulate(np.where(fresh, slots, 0))
         depth = SYMBOLS
         while True:
-            alone = fresh & np.append(fresh[1:], True)
+            alone = fresh.copy()
+            alone[:-1] &= fresh[1:]
             slots = slots[~alone]
             if not len(slots):
-                return order
+                return order.astype(np.int64)
             some = order[slots]
-            pair = rank[some] * n + rank[np.minimum(some + depth, n - 1)]
+            pair = (rank[some].astype(np.int64) << 32) | rank[np.minimum(some + depth, n - 1)]
             by = np.argsort(pair, kind="stable")
             some, pair = some[by], pair[by]
             fresh = np.ones(len(some), bool)
             fresh[1:] = pair[1:] != pair[:-1]
             order[slots] = some
-            rank[some] = slots[np.maximum.accumulate(np.where(fresh, np.arange(len(some)), 0))]
+            rank[some] = np.maximum.accumulate(np.where(fresh, slots, 0))
             depth *= 2
 
     def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -218,20 +228,21 @@ def marks_of(regions: list[bytes], th: list[bytes], first: np.ndarray, many: np.
 
 
 def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    """The anchors of all texts: the text's hash and length, the anchor's place and key, the hash of its region."""
+    """The anchors of all texts: the text's hash, the anchor's place and key, range and hash of its region."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for th, text in zip(batch.column(0), batch.column(1), strict=True):
                 data = text.as_py()
-                places, keys = anchors(data, length)
-                for k in range(0, len(places), 1 << 16):
-                    some = places[k : k + (1 << 16)]
-                    ends = zip(np.maximum(some + GRAM - length, 0).tolist(), (some + length).tolist(), strict=True)
-                    hashes = np.array([xxhash.xxh64_intdigest(data[a:b]) for a, b in ends], np.uint64)
-                    columns = [pa.array([th.as_py()] * len(some), pa.binary()), pa.array(np.full(len(some), len(data), np.int32))]
-                    columns += [pa.array(some.astype(np.int32)), pa.array(keys[k : k + (1 << 16)].view(np.int64)), pa.array(hashes.view(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, ["th", "n", "p", "key", "rh"])
+                every = anchors(data, length)
+                for k in range(0, len(every[0]), 1 << 16):
+                    places, keys, begins, ends = (c[k : k + (1 << 16)] for c in every)
+                    ranges = zip(begins.tolist(), ends.tolist(), strict=True)
+                    hashes = np.array([xxhash.xxh64_intdigest(data[a:b]) for a, b in ranges], np.uint64)
+                    columns = [pa.array([th.as_py()] * len(places), pa.binary())]
+                    columns += [pa.array(c.astype(np.int32)) for c in (places, begins, ends)]
+                    columns += [pa.array(c.view(np.int64)) for c in (keys, hashes)]
+                    yield pa.RecordBatch.from_arrays(columns, ["th", "p", "a", "b", "key", "rh"])
 
     return docs.where(F.octet_length("text") >= length).select("th", F.col("text").cast("binary").alias("text")).mapInArrow(rows, ANCHORS)
 
@@ -245,8 +256,7 @@ def region_rows(texts: DataFrame, length: int) -> DataFrame:
             for th, text, wanted in zip(*batch.columns, strict=True):
                 data = text.as_py()
                 for w in wanted.as_py():
-                    begin = max(w["p"] + GRAM - length, 0)
-                    cells = (w["key"], w["rh"], GRAM - length, 0, th.as_py(), w["p"], begin, data[begin : w["p"] + length], w["many"])
+                    cells = (w["key"], w["rh"], GRAM - length, 0, th.as_py(), w["p"], w["a"], data[w["a"] : w["b"]], w["many"], w["nodes"])
                     for name, cell in zip(out, cells, strict=True):
                         out[name].append(cell)
             yield pa.RecordBatch.from_pydict(out, schema=region_schema)
@@ -256,7 +266,7 @@ def region_rows(texts: DataFrame, length: int) -> DataFrame:
 
 region_schema = pa.schema([
     ("key", pa.int64()), ("rh", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("th", pa.binary()),
-    ("p", pa.int32()), ("first", pa.int32()), ("region", pa.binary()), ("many", pa.bool_()),
+    ("p", pa.int32()), ("first", pa.int32()), ("region", pa.binary()), ("many", pa.bool_()), ("nodes", pa.int64()),
 ])
 
 
@@ -304,7 +314,7 @@ def narrower(regions: DataFrame, length: int) -> DataFrame:
                     seed = (lo - GRAM + length) * length + hi - GRAM + length
                     key = xxhash.xxh64_intdigest(shared, seed) ^ (row["key"] & 0xFFFFFFFFFFFFFFFF)
                     signed = [v - (1 << 64) if v >> 63 else v for v in (key, xxhash.xxh64_intdigest(part))]
-                    for name, cell in zip(out, (*signed, lo, hi, row["th"], p, a, part, row["many"]), strict=True):
+                    for name, cell in zip(out, (*signed, lo, hi, row["th"], p, a, part, row["many"], 0), strict=True):
                         out[name].append(cell)
             yield pa.RecordBatch.from_pydict(out, schema=region_schema)
 
@@ -315,19 +325,20 @@ def region_marks(regions: DataFrame, length: int = LENGTH, group_nodes: int = GR
     """Marks (th, a, b) from regions that are distinct within each key; keys above ``group_nodes`` are split until they fit."""
     marks = []
     while True:
-        sizes = regions.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
-        sized = stored(regions.join(sizes, "key"), "sized-regions")
-        marks.append(index_marks(sized.where(F.col("nodes") <= group_nodes), length))
-        hot = sized.where(F.col("nodes") > group_nodes)
+        regions = stored(regions, "regions")
+        marks.append(index_marks(regions.where(F.col("nodes") <= group_nodes), length))
+        hot = regions.where(F.col("nodes") > group_nodes)
         if hot.isEmpty():
             break
         parts = stored(narrower(hot, length), "narrow-regions")
         nodes = parts.groupBy("key", "rh").agg(F.count(F.lit(1)).alias("places"), F.max("many").alias("held_many"), F.min(F.struct("th", "p")).alias("one"))
-        named = stored(parts.join(nodes, ["key", "rh"]), "narrow-nodes")
+        nodes = stored(nodes, "narrow-nodes")
+        named = parts.join(nodes, ["key", "rh"])
         again = named.where("places > 1 and not many")
         marks.append(again.select("th", F.col("first").alias("a"), (F.col("first") + F.octet_length("region")).alias("b")))
         one = named.where("th = one.th and p = one.p").withColumn("many", F.col("held_many") | (F.col("places") > 1))
-        regions = one.select(*region_schema.names)
+        sizes = stored(nodes.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1"), "key-sizes")
+        regions = one.drop("nodes").join(sizes, "key").select(*region_schema.names)
     out = marks[0]
     for more in marks[1:]:
         out = out.union(more)
@@ -374,18 +385,17 @@ def without_long_matches(
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("th"), text.alias("text"))
     found = stored(anchor_rows(named, length), "anchors")
     repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("places")).where("places > 1").select("key")
-    places = stored(found.join(repeated, "key", "left_semi"), "repeated-anchors")
-    nodes = places.groupBy("key", "rh").agg(F.count(F.lit(1)).alias("places"), F.min(F.struct("th", "p")).alias("one"))
-    nodes = stored(nodes.select("key", "rh", "places", "one.th", "one.p"), "region-nodes")
+    places = stored(found.join(stored(repeated, "repeated-keys"), "key", "left_semi"), "repeated-anchors")
+    nodes = places.groupBy("key", "rh").agg(F.count(F.lit(1)).alias("places"), F.min(F.struct("th", "p", "a", "b")).alias("one"))
+    nodes = stored(nodes.select("key", "rh", "places", "one.*"), "region-nodes")
     # Regions with several places are marked whole; keys with several regions are looked into.
-    several = places.join(nodes.where("places > 1").select("key", "rh"), ["key", "rh"]).select(
-        "th", F.greatest(F.col("p") + (GRAM - length), F.lit(0)).alias("a"), F.least(F.col("p") + length, F.col("n")).alias("b")
-    )
-    mixed_keys = nodes.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1").select("key")
-    wanted = nodes.join(mixed_keys, "key", "left_semi").select(
-        "th", F.struct("p", "key", "rh", (F.col("places") > 1).alias("many")).alias("w"), F.lit(None).cast("struct<a:int,b:int>").alias("r")
-    )
-    whole = several.distinct().select("th", F.lit(None).cast("struct<p:int,key:bigint,rh:bigint,many:boolean>").alias("w"), F.struct("a", "b").alias("r"))
+    several = stored(nodes.where("places > 1").select("key", "rh"), "repeated-regions")
+    several = places.join(several, ["key", "rh"]).select("th", "a", "b")
+    mixed_keys = nodes.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
+    wanted = nodes.join(stored(mixed_keys, "mixed-keys"), "key")
+    wanted = wanted.select("th", F.struct("p", "a", "b", "key", "rh", (F.col("places") > 1).alias("many"), "nodes").alias("w"))
+    wanted = wanted.withColumn("r", F.lit(None).cast("struct<a:int,b:int>"))
+    whole = several.distinct().select("th", F.lit(None).cast(wanted.schema["w"].dataType).alias("w"), F.struct("a", "b").alias("r"))
     needs = wanted.union(whole).groupBy("th").agg(F.collect_list("w").alias("wanted"), F.collect_list("r").alias("ranges"))
     long_texts = named.where(F.octet_length("text") >= length)
     texts = long_texts.groupBy("th").agg(F.first(F.col("text").cast("binary")).alias("text")).join(needs, "th")

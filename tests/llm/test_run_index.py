@@ -84,9 +84,10 @@ def test_runs_hold_the_transform_and_its_statistics():
 def test_every_window_holds_its_anchor_at_the_same_offset():
     rng = np.random.default_rng(2)
     data = bytes(rng.integers(97, 99, 3000, np.uint8)) + b"abc" * 500
-    places, keys = run_index.anchors(data, 200)
+    places, keys, begins, ends = run_index.anchors(data, 200)
     hashes = run_index.gram_hashes(data, run_index.GRAM)
     width = 200 - run_index.GRAM + 1
-    want = {k + width - 1 - int(np.argmin(hashes[k : k + width][::-1])) for k in range(len(data) - 199)}
-    assert set(places.tolist()) == want
+    want = [k + width - 1 - int(np.argmin(hashes[k : k + width][::-1])) for k in range(len(data) - 199)]
+    got = [p for p, a, b in zip(places, begins, ends, strict=True) for _ in range(a, b - 199)]
+    assert got == want  # in order, each window in one range
     assert (hashes[places] == keys).all()
