@@ -22,7 +22,7 @@ from __future__ import annotations
 import gc
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
@@ -174,21 +174,23 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.vocabulary_a, self.ranked = byte_level(path_a)
         self.b, self.vocabulary_b = piece_level(path_b)
-        self.memo: dict[tuple[bytes, bytes], Window] = {}
-
-    def encode_a(self, text: str) -> list[int]:
-        """Ids of A. The ids of its vocabulary are the ranks of its merges, by which the second encoder gives the same."""
-        if len(text) <= RANKED_CHARACTERS and SETTLED.fullmatch(text):
-            return self.ranked.encode_ordinary(text)
-        return self.a.encode(text, add_special_tokens=False).ids
+        self.memo: dict[int | tuple[bytes, bytes], Window] = {}
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of A and B for each text; none where they do not spell it."""
-        of_a = [self.encode_a(f" {t}") for t in texts]
-        for text, a, b in zip(texts, of_a, self.b.encode(texts, num_threads=1), strict=True):
+        """Ids of A and B for each text; none where they do not spell it.
+
+        The ids of A's vocabulary are the ranks of its merges, so the second encoder gives the same; what it gives always
+        spells the text, as it merges the text's own bytes.
+        """
+        for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
             whole = b" " + text.encode("utf-8", "surrogatepass")
-            spelt = text and self.vocabulary_a.spells(a, whole) and self.vocabulary_b.spells(b, whole)
-            yield (a, b) if spelt else ([], [])
+            if not text or not self.vocabulary_b.spells(b, whole):
+                yield [], []
+            elif len(text) <= RANKED_CHARACTERS and SETTLED.fullmatch(text):
+                yield self.ranked.encode_ordinary(f" {text}"), b
+            else:
+                a = self.a.encode(f" {text}", add_special_tokens=False).ids
+                yield (a, b) if self.vocabulary_a.spells(a, whole) else ([], [])
 
     def windows(self, ids_a: list[int], ids_b: list[int]) -> list[Window]:
         """The document's windows in order: cut where space-marked tokens of A and B start at the same byte."""
@@ -206,7 +208,10 @@ class Aligner:
         cut_b = [0, *cut_b[inner].tolist(), len(b)]
         bytes_a, bytes_b, memo, out = a.tobytes(), b.tobytes(), self.memo, []
         for i, to_i, j, to_j in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False):
-            key = (bytes_a[4 * i : 4 * to_i], bytes_b[4 * j : 4 * to_j])
+            if to_i - i == 1 == to_j - j:
+                key = ids_a[i] << 32 | ids_b[j]  # one id of each
+            else:
+                key = (bytes_a[4 * i : 4 * to_i], bytes_b[4 * j : 4 * to_j])
             window = memo.get(key)
             if window is None:
                 window = cut_window(ids_a[i:to_i], ids_b[j:to_j], self.vocabulary_a.by_id, self.vocabulary_b.by_id)
@@ -223,12 +228,13 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-def document_links(windows: list[Window]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs of a document and how often it holds each."""
-    pairs = np.fromiter(chain.from_iterable([w.pairs for w in windows]), np.int64)
-    if all([w.times is None for w in windows]):
-        return np.unique(pairs, return_counts=True)
-    return summed(pairs, np.fromiter(chain.from_iterable([w.times or [1] * len(w.pairs) for w in windows]), np.int64))
+def document_links(pairs: Sequence[list[int]], times: Sequence[list[int] | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of a document's windows and how often it holds each."""
+    every = np.fromiter(chain.from_iterable(pairs), np.int64)
+    if not any(times):
+        return np.unique(every, return_counts=True)
+    of = [t or [1] * len(p) for p, t in zip(pairs, times, strict=True)]
+    return summed(every, np.fromiter(chain.from_iterable(of), np.int64))
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -267,13 +273,13 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: st
         for batch in batches:
             for ids, texts in portions(batch):
                 for i, text, (a, b) in zip(ids, texts, align.encode(texts), strict=True):
-                    windows = align.windows(a, b) if a else []
-                    groups = ";".join([w.text for w in windows])
+                    texts_of, n_groups, links, pairs, times = zip(*align.windows(a, b), strict=True) if a else ((),) * 5
+                    groups = ";".join(texts_of)
                     rows.append({
-                        "id": i, "n_a": len(a), "n_b": len(b), "n_groups": sum(w.n_groups for w in windows),
-                        "n_links": sum(w.links for w in windows), "groups": groups if keep_groups else None,
+                        "id": i, "n_a": len(a), "n_b": len(b), "n_groups": sum(n_groups), "n_links": sum(links),
+                        "groups": groups if keep_groups else None,
                         "groups_sha256": hashlib.sha256(groups.encode()).hexdigest() if a else "",
-                        "held": document_links(windows) if a else (none, none),
+                        "held": document_links(pairs, times) if a else (none, none),
                     })
                     size += len(text)
                 if size >= CHUNK_BYTES or len(rows) >= CHUNK_DOCS:
