@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from panelwave.functions.text import as_raw_text, is_blank, period_from_name
 
+#: File blocks whose row counts one scan holds as an index, and the slots of its hash table.
+INDEX_BLOCKS = 4096
+INDEX_SLOTS = 1024
+
 
 def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Only the named columns reach the scan (see ``ReadSchema`` in the plan)."""
@@ -84,27 +88,61 @@ def parquet_row_number(first: int = 2) -> Column:
     return F.col("_metadata.row_index") + F.lit(first)
 
 
-def number_text_rows(df: DataFrame, first: int = 2, name: str = "source_row") -> DataFrame:
-    """Row number within each text file, without passing rows through one task.
+def number_text_rows(df: DataFrame, first: int = 2, name: str = "source_row", index_blocks: int = INDEX_BLOCKS) -> DataFrame:
+    """Row number within each text file; rows stay in the task that reads them.
 
-    Each file block numbers its own rows; one small count per block gives the
-    number of rows before it. Only block counts are shuffled.
+    A first pass counts the rows of each file block, and only those counts are
+    shuffled. Their prefix sums form an index, which the numbering scan gets as
+    one value and looks up by hash. Files are read in groups of about
+    ``index_blocks`` blocks (or of one larger file), each with an index of its
+    own, so the index of a scan does not grow with the table. ``df`` is a scan,
+    possibly projected, whose ``_metadata`` can be resolved.
     """
-    block = ["_block_file", "_block_start"]
-    marked = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_block_file"),
-        F.col("_metadata.file_block_start").alias("_block_start"),
-        F.monotonically_increasing_id().alias("_mono"),
-    )
-    counts = marked.groupBy(*block).agg(F.min("_mono").alias("_mono_first"), F.count(F.lit(1)).alias("_n"))
-    ahead = Window.partitionBy("_block_file").orderBy("_block_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *block, "_mono_first", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before")
-    )
-    return marked.join(offsets, block).select(
-        *df.columns, (F.col("_mono") - F.col("_mono_first") + F.col("_before") + F.lit(first)).alias(name)
-    )
+    groups = file_groups(df, index_blocks)
+    scans = [df] if len(groups) < 2 else [df.where(F.col("_metadata.file_path").isin(group)) for group in groups]
+    numbered = [_numbered(scan, first, name) for scan in scans]
+    return reduce(DataFrame.unionByName, numbered)
+
+
+def file_groups(df: DataFrame, blocks: int) -> list[list[str]]:
+    """The files of a scan in order, cut into groups of about ``blocks`` blocks; a larger file is a group of its own."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if not files:
+        return []
+    size = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    lengths = spark.read.format("binaryFile").load(files).select("path", "length").collect()
+    groups, held = [], blocks
+    for path, length in sorted(map(tuple, lengths)):
+        n = 1 + length // size
+        if held + n > blocks:
+            groups.append([])
+            held = 0
+        groups[-1].append(path)
+        held += n
+    return groups
+
+
+def _numbered(scan: DataFrame, first: int, name: str) -> DataFrame:
+    key = F.xxhash64("_metadata.file_path", "_metadata.file_block_start")
+    place = F.monotonically_increasing_id()
+    blocks = (
+        scan.select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+            key.alias("key"), place.alias("place"),
+        )
+        .groupBy("file", "start", "key")
+        .agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"))
+    )
+    ahead = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(ahead), F.lit(0)) - F.col("place") + F.lit(first)
+    entry = F.struct("key", F.col("shift").cast("long").alias("shift"))
+    slots = blocks.withColumn("shift", shift).groupBy(F.pmod("key", F.lit(INDEX_SLOTS)).alias("slot")).agg(F.collect_list(entry).alias("held"))
+    every = scan.sparkSession.range(INDEX_SLOTS).select(F.col("id").alias("slot")).join(slots, "slot", "left")
+    rows = F.sort_array(F.collect_list(F.struct("slot", F.coalesce("held", F.array().cast("array<struct<key:bigint,shift:bigint>>")).alias("held"))))
+    index = every.agg(F.transform(rows, lambda row: F.map_from_entries(row["held"])).alias("index")).scalar()
+    slot = F.element_at(index, F.pmod(key, F.lit(INDEX_SLOTS)).cast("int") + 1)
+    return scan.select(*scan.columns, (place + F.element_at(slot, key)).alias(name))
 
 
 def with_provenance(df: DataFrame, manifest: DataFrame, file_name: str = "source_file") -> DataFrame:

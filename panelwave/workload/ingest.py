@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelwave.functions import codes, numeric, text
 from panelwave.operators import profile, quality
 from panelwave.session import scratch_dir
-from panelwave.sources import controls, files, manifest, sinks
+from panelwave.sources import controls, files, layouts, ledger, manifest, sinks
 from panelwave.workload.frames import OBS_SQL, normal_sql, typed_sql, obs, orders, table
 from panelwave.workload.registry import query, rounded
 
@@ -267,11 +267,80 @@ def incremental_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     then = now.where(F.col("period") != "1999T1").withColumn(
         "o_totalprice", F.when(F.col("period") == "1998T2", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
     )
-    recorded = manifest.manifest_rows(manifest.fingerprint(then, ["period"]), columns)
+    path = scratch_dir(spark, "earlier")
+    sinks.write_periods(then, path, "period", "o_orderkey")
+    stored = sinks.read_stage(spark, path, "period").groupBy("period").agg(F.count(F.lit(1)).alias("rows"))
+    recorded = manifest.manifest_rows(manifest.fingerprint(then, ["period"]), columns, stored)
     todo = manifest.worklist(manifest.fingerprint(now, ["period"]), recorded, columns)
     return todo.select("period")
 
 
+@query("""SELECT CAST(year(o_orderdate) AS VARCHAR) AS period, year(o_orderdate) IN (1996, 1999) AS listed_again,
+ count(*) AS selected_rows, count(*) FILTER (o_orderstatus = 'F') AS eligible_rows, true AS complete FROM orders GROUP BY 1, 2""")
+def interrupted_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that dies in two periods between write and commit, the work list after it, and the run that resumes."""
+    columns = ["o_orderkey", "o_orderstatus", "o_totalprice", "period"]
+    table_ = orders(spark, sf_dir).withColumn("period", F.substring("period", 1, 4)).select(*columns)
+    steps = {"selected": lambda part: part, "eligible": lambda part: part.where("o_orderstatus = 'F'")}
+    store = ledger.PeriodStore(spark, scratch_dir(spark, "periods"), steps)
+
+    def dies(period: str) -> None:
+        if period in ("1996", "1999"):
+            raise InterruptedError(period)
+
+    try:
+        store.run(table_, "period", columns, before_commit=dies)
+    except ExceptionGroup as died:
+        if died.split(InterruptedError)[1] is not None:
+            raise
+    inputs = manifest.fingerprint(table_, ["period"])
+    todo = [r.period for r in store.worklist(inputs, columns).collect()]
+    store.run(table_, "period", columns)
+    counts = [store.read(name).groupBy("period").agg(F.count(F.lit(1)).alias(f"{name}_rows")) for name in steps]
+    whole = store.complete().groupBy("period").agg(F.every("complete").alias("complete"))
+    joined = counts[0].join(counts[1], "period", "left").join(whole, "period")
+    return joined.select(
+        "period", F.col("period").isin(todo).alias("listed_again"), "selected_rows",
+        F.coalesce("eligible_rows", F.lit(0)).alias("eligible_rows"), "complete",
+    )
+
+
+@query("""SELECT [4, 7, 3][y % 3 + 1] AS width, [0, 1, 0][y % 3 + 1] AS blank, ['', 'o_clerk', ''][y % 3 + 1] AS duplicates,
+ ['', '', 'o_orderstatus'][y % 3 + 1] AS missing, y % 3 < 2 AS usable, true AS has_files
+FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders) GROUP BY ALL""")
+def layout_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of the files of three layouts, against columns of which one layout lacks one."""
+    found = layouts.headers(spark, _three_layouts(spark, sf_dir))
+    report = layouts.layouts(found, ["o_orderkey", "o_custkey", "o_orderstatus"], ["o_orderpriority"])
+    return report.select(
+        "width", "blank", F.concat_ws(",", "duplicates").alias("duplicates"), F.concat_ws(",", "missing").alias("missing"),
+        "usable", (F.size("files") > 0).alias("has_files"),
+    )
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+ CASE WHEN year(o_orderdate) % 3 < 2 THEN o_orderstatus END AS o_orderstatus,
+ CASE WHEN year(o_orderdate) % 3 < 2 THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files of the three layouts in one scan: other places, a doubled unused column, two columns missing in some files."""
+    folders = _three_layouts(spark, sf_dir)
+    return layouts.scan_layouts(spark, folders, ["o_orderkey", "o_custkey"], ["o_orderstatus", "o_orderpriority"]).drop("source_file")
+
+
+def _three_layouts(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Orders of every third year as text files: plain; wide with a doubled and a blank name; narrow."""
+    path = scratch_dir(spark, "layouts")
+    layout, price = F.year("o_orderdate") % 3, F.col("o_totalprice").cast("string")
+    o = table(spark, sf_dir, "orders")
+    o.where(layout == 0).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").write.csv(f"{path}/a", header=True)
+    o.where(layout == 1).select(
+        "o_orderpriority", F.lit("x").alias("o_clerk"), F.lit("n").alias(" "), F.col("o_custkey").alias(" o_custkey"),
+        F.lit("y").alias("o_clerk "), F.col("o_orderstatus"), "o_orderkey",
+    ).write.csv(f"{path}/b", header=True)
+    o.where(layout == 2).select(price.alias("o_totalprice"), "o_orderkey", "o_custkey").write.csv(f"{path}/c", header=True)
+    return [f"{path}/{k}" for k in "abc"]
+
+
 @query("""SELECT o_orderkey, sha256(concat_ws('|', CAST(o_orderkey AS VARCHAR), o_orderstatus, o_orderpriority)) AS fingerprint
 FROM orders""")
 def row_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

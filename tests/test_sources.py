@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelwave.session import scratch_dir
-from panelwave.sources import controls, files, manifest, sinks
+from panelwave.sources import controls, files, layouts, ledger, manifest, sinks
 from panelwave.spec import Control
 
 
@@ -33,12 +33,87 @@ def test_text_row_numbers_follow_the_file(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        scan = spark.read.csv(str(tmp_path), header=True).select("*", "_metadata")
-        assert scan.rdd.getNumPartitions() > 3
-        got = files.number_text_rows(scan).select("k", "source_row").collect()
+        plain = spark.read.csv(str(tmp_path), header=True)
+        for scan in (plain, plain.select("*", "_metadata")):
+            assert scan.rdd.getNumPartitions() > 3
+            for blocks in (files.INDEX_BLOCKS, 3):
+                got = files.number_text_rows(scan, index_blocks=blocks).select("k", "source_row").collect()
+                assert len(got) == 3005 and all(int(r.k) + 2 == r.source_row for r in got)
+        groups = files.file_groups(plain, 3)
+        assert [len(g) for g in groups] == [1, 1]
+        first = plain.where(F.col("_metadata.file_path").isin(groups[0]))
+        assert first.rdd.getNumPartitions() < plain.rdd.getNumPartitions()  # the other files are not opened
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert len(got) == 3005 and all(int(r.k) + 2 == r.source_row for r in got)
+
+
+def test_text_rows_are_not_moved_to_be_numbered(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("k,v\n1,2\n")
+    numbered = files.number_text_rows(spark.read.csv(str(tmp_path), header=True))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = numbered._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    rows = [line for line in plan.splitlines() if "Subquery" not in line and not line.strip().startswith((":", "|"))]
+    assert not any("Join" in line or "Exchange" in line for line in rows)
+
+
+def test_number_text_rows_of_no_rows(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("k,v\n")
+    assert files.number_text_rows(spark.read.csv(str(tmp_path), header=True)).count() == 0
+
+
+def test_layouts_are_grouped_and_read_by_name(spark, tmp_path):
+    files_ = {
+        "a1.csv": "k, v ,w\n1,x,p\n", "a2.csv": "k, v ,w\n2,y,q\n", "b.csv": "\ufeffw,\"z,z\",k,,z,z,,\nr,0,3,,5,6,,\n",
+        "c.csv": "v,k\n", "empty.csv": "",
+    }
+    for name, text in files_.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    found = layouts.headers(spark, str(tmp_path))
+    assert {r.file.rsplit("/")[-1]: r.names for r in found.collect()} == {
+        "a1.csv": ["k", "v", "w"], "a2.csv": ["k", "v", "w"], "b.csv": ["w", "z,z", "k", "", "z", "z"], "c.csv": ["v", "k"],
+    }
+    report = {r.width: r for r in layouts.layouts(found, ["k"], ["z"]).collect()}
+    assert (report[6].blank, report[6].duplicates, report[6].doubled, report[6].usable) == (1, ["z"], ["z"], False)
+    assert (len(report[3].files), report[3].usable, report[2].missing) == (2, True, [])
+    with pytest.raises(ValueError, match="more than once: \\['z'\\]"):
+        layouts.scan_layouts(spark, str(tmp_path), ["k"], ["z"])
+    with pytest.raises(ValueError, match="missing: \\['w'\\]"):
+        layouts.scan_layouts(spark, str(tmp_path), ["w"])
+    got = layouts.scan_layouts(spark, str(tmp_path), ["k"], ["v", "w"])
+    assert sorted(map(tuple, got.collect())) == [("1", "x", "p", "a1.csv"), ("2", "y", "q", "a2.csv"), ("3", None, "r", "b.csv")]
+
+
+def test_only_committed_periods_count(spark, tmp_path):
+    rows = [(p, k, k % 3) for p in ("a", "b", "c") for k in range(6)]
+    table = spark.createDataFrame(rows, "period string, k int, v int")
+    steps = {"all": lambda part: part, "some": lambda part: part.where("v = 7")}
+    store = ledger.PeriodStore(spark, str(tmp_path / "store"), steps)
+    todo = lambda t=table, c=("k", "v"), **o: sorted(r.period for r in store.worklist(manifest.fingerprint(t, ["period"]), c, **o).collect())
+    assert todo() == ["a", "b", "c"]
+
+    def dies(period):
+        if period == "b":
+            raise InterruptedError
+
+    with pytest.raises(ExceptionGroup):
+        store.run(table, "period", ["k", "v"], before_commit=dies)
+    assert todo() == ["b"] and sorted({r.period for r in store.read("all").collect()}) == ["a", "c"]
+    assert store.run(table, "period", ["k", "v"]) == ["b"] and todo() == []
+    assert store.read("all").count() == 18 and store.read("some").count() == 0
+    assert store.differences("all").count() == 0
+    assert todo(c=("k",)) == ["a", "b", "c"] and todo(force=True, only=["a"]) == ["a"]
+    changed = table.withColumn("v", F.when(F.col("period") == "c", F.lit(7)).otherwise(F.col("v")))
+    assert todo(changed) == ["c"] and store.run(changed, "period", ["k", "v"]) == ["c"]
+    assert store.read("some").count() == 6 and store.read("all").count() == 18
+    # A lost file of a committed attempt brings the period back.
+    attempt = next(r.attempt for r in store.manifest().collect() if (r.period, r.output) == ("a", "all"))
+    spark.createDataFrame([(1, 1)], "k int, v int").limit(0).write.mode("overwrite").parquet(f"{store.root}/all/period=a/attempt={attempt}")
+    spark.catalog.refreshByPath(f"{store.root}/all")
+    assert todo(changed) == ["a"]
 
 
 def test_blank_rows(spark):
