@@ -10,6 +10,7 @@ empty, a NULL id stays a row of its own. Equal fingerprints (and so repeated row
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -31,6 +32,8 @@ GROUP_ROWS = 2048
 SHINGLES_AT_ONCE = 1 << 16
 #: MinHash bands and the values of a band: two texts at similarity 0.8 agree in no band once in 14,000 pairs.
 BANDS, BAND = 24, 5
+#: Bytes of the shingle sets that one task compares with each other.
+PART_BYTES = 8 << 20
 
 
 def shingle_hashes(text: str | None, width: int, seed: int = 42) -> Iterator[bytes]:
@@ -202,35 +205,129 @@ def band_keys(shingles: np.ndarray, seed: int = 42) -> np.ndarray:
     return (least.reshape(BANDS, BAND) * weights).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
-def similar_links(docs: DataFrame, text_col: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
-    """Links ``a``, ``b`` between hashes of different texts whose shingle sets have Jaccard similarity ``least`` or more.
+def similar_sets(sets: list[np.ndarray], roots: list[int], least: float, parts: list[int] | None = None) -> list[tuple[int, int]]:
+    """Spanning links (places in ``sets``) of the pairs at Jaccard similarity ``least`` or more.
 
-    Candidates agree in a band of MinHash values; each is verified on the exact sets. The texts are read twice: for the
-    bands, and for the sets of the candidates only.
+    Sets with the same root are joined already. Pairs of sets of one part are left out. A set is compared with the sets
+    of a group until one is similar, so a group of mutual copies costs one comparison a set.
+    """
+    groups: dict[int, list[int]] = {}
+    of = {}
+    found = []
+    for x in range(len(sets)):
+        own = of.setdefault(roots[x], roots[x])
+        while of[own] != own:
+            own = of[own]
+        for other in [g for g in groups if g != own]:
+            for y in groups[other]:
+                small, large = sorted((len(sets[x]), len(sets[y])))
+                if small < least * large or (parts is not None and parts[x] == parts[y]):
+                    continue
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if common >= least * (small + large - common):
+                    found.append((x, y))
+                    groups.setdefault(own, []).extend(groups.pop(other))
+                    of[other] = own
+                    break
+        groups.setdefault(own, []).append(x)
+    return found
+
+
+def compared(rows: DataFrame, sets: DataFrame, least: float, tiles: bool = False) -> DataFrame:
+    """Spanning links ``a``, ``b`` between similar nodes of a (key, part), or of a tile of two parts.
+
+    ``rows`` has ``key``, ``part``, ``node``, ``root`` and, with ``tiles``, ``tile_i`` and ``tile_j``; each node's set is
+    sent once to each of its groups and verified there.
+    """
+    keys = ["key", "tile_i", "tile_j"] if tiles else ["key", "part"]
+
+    def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, some in sorted_groups(batches, keys, 1 << 40):
+            for name, group in some.groupby(keys):
+                node = group["node"].to_numpy(np.int64)
+                parts = group["part"].tolist() if tiles and name[1] != name[2] else None
+                pairs = similar_sets(list(group["own"]), group["root"].tolist(), least, parts)
+                x, y = np.array(pairs, np.int64).reshape(-1, 2).T
+                yield pd.DataFrame({"a": node[x], "b": node[y]})
+
+    known = rows.join(sets, "node").select(*dict.fromkeys([*keys, "part"]), "node", "root", "own")
+    return known.repartition(*keys).sortWithinPartitions(*keys, "node").mapInPandas(inside, "a long, b long")
+
+
+def open_keys(members: DataFrame, roots: DataFrame, part_bytes: int) -> DataFrame:
+    """The members of keys that still hold several components, with their component and their part of the key.
+
+    A key is cut into ``parts`` so that the sets of a part have about ``part_bytes``.
+    """
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = placed.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other"), F.ceil(F.sum("n") * 8 / part_bytes).cast("int").alias("parts"))
+    sizes = stored(sizes.where("one < other").select("key", "parts"), "open-keys")
+    return placed.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+
+
+def similar_links(
+    docs: DataFrame, text_col: str = "text", width: int = 5, least: float = 0.8, part_bytes: int = PART_BYTES
+) -> DataFrame:
+    """Links ``a``, ``b`` between hashes of different texts that join all texts whose shingle sets have Jaccard similarity
+    ``least`` or more and agree in a band, without listing the pairs.
+
+    Equal sets are one node. The first two bands come first: what they join needs no comparison in the other bands, where
+    only keys with several components are looked into. A key whose sets outgrow a task is cut into parts, compared part
+    by part; then one node of each component of the key; and, if components remain, tiles of two parts.
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows = []
             for th, text in zip(batch.column(0), batch.column(1), strict=True):
                 own = shingle_set(text.as_py(), width)
                 if len(own):
-                    yield pa.RecordBatch.from_arrays([pa.array([th.as_py()] * BANDS, pa.int64()), pa.array(band_keys(own))], ["th", "key"])
+                    rows.append((th.as_py(), xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63), len(own), band_keys(own)))
+            columns = zip(*rows, strict=True) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["th", "sh", "n", "keys"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingle_set(t.as_py(), width).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["th", "own"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "own"])
 
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
     text = whole_text(text_col)
     source = docs.select(F.xxhash64(text).alias("th"), text.alias("text"))
-    dealt = stored(source.mapInArrow(keys, "th long, key long"), "minhash-keys")
-    pairs = dealt.withColumnRenamed("th", "a").join(dealt.withColumnRenamed("th", "b"), "key").where("a < b")
-    pairs = stored(pairs.select("a", "b").distinct(), "similar-pairs")
-    members = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "th")
-    known = stored(source.join(members, "th", "left_semi").mapInArrow(sets, "th long, own array<long>"), "shingle-sets")
-    both = pairs.join(known.toDF("a", "of_a"), "a").join(known.toDF("b", "of_b"), "b")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    return both.where(common / (F.size("of_a") + F.size("of_b") - common) >= least).select("a", "b")
+    signed = stored(source.mapInArrow(keys, "th long, sh long, n long, keys array<long>"), "minhash-keys")
+    nodes = signed.groupBy("sh").agg(F.min("th").alias("node"))
+    named = signed.join(nodes, "sh")
+    equal = named.where("th <> node").select(F.col("th").alias("a"), F.col("node").alias("b"))
+    # Of several texts with one hash, one row.
+    each = named.where("th = node").dropDuplicates(["node"]).select("node", "n", F.posexplode("keys").alias("band", "key"))
+    each = stored(each, "minhash-bands")
+    repeated = each.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1").select("key")
+    members = stored(each.join(stored(repeated, "repeated-bands"), "key", "left_semi"), "band-members")
+    wanted = members.select(F.col("node").alias("th")).distinct()
+    chosen = source.join(wanted, "th", "left_semi").dropDuplicates(["th"])
+    known = stored(chosen.mapInArrow(sets, "node long, own array<long>"), "shingle-sets")
+
+    roots = docs.sparkSession.createDataFrame([], "node long, root long")
+    links = []
+
+    def joined(more: DataFrame) -> DataFrame:
+        links.append(stored(more, "similar-links"))
+        return stored(components(reduce(DataFrame.union, links), "a", "b"), "similar-roots")
+
+    for bands in (members.where("band < 2"), members):
+        opened = open_keys(bands, roots, part_bytes)
+        roots = joined(compared(opened, known, least))
+    if not opened.where("parts > 1").isEmpty():
+        hot = stored(opened.where("parts > 1").select("key", "node", "n"), "large-bands")
+        opened = open_keys(hot, roots, part_bytes)
+        one = opened.groupBy("key", "root").agg(F.min("node").alias("node")).withColumn("part", F.lit(0))
+        one = one.join(hot, ["key", "node"])
+        roots = joined(compared(open_keys(one.select("key", "node", "n"), roots, part_bytes), known, least))
+        opened = open_keys(hot, roots, part_bytes)
+        both = opened.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        both = both.withColumn("tile_i", F.least("part", "tile")).withColumn("tile_j", F.greatest("part", "tile"))
+        joined(compared(both, known, least, tiles=True))
+    return reduce(DataFrame.union, links, equal)
 
 
 def first_of_similar(

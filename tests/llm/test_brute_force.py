@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelwave.llm import cap_filters, decontaminate, simhash_dedup, token_files
@@ -116,6 +117,30 @@ def test_first_of_similar(spark):
     assert similar(first) and kept == sorted(set(roots.values()))
 
 
+@pytest.mark.parametrize("part_bytes", [700, 4000, simhash_dedup.PART_BYTES])
+def test_similar_links_join_what_pairs_join(spark, part_bytes):
+    rng = np.random.default_rng(11)
+    texts = []
+    for size in (40, 25, 3, 1):
+        words = [f"w{v}" for v in rng.integers(0, 900, 90)]
+        for k in range(size):
+            near = list(words)
+            near[k % 90] = f"x{k}"
+            texts.append(near[: 90 - k // 8])
+    texts += [texts[0][:-1] + ["end"], texts[0], ["one"], ["two"], [], ["ONE"]]
+    sets = [{tuple(" ".join(t).lower().split()[i : i + 5]) for i in range(max(len(t) - 4, min(len(t), 1)))} for t in texts]
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a) if sets[a] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+    want = least_reachable(pairs, range(len(texts)))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    names = {r.th: r.ids for r in df.selectExpr("xxhash64(text) AS th", "doc_id").groupBy("th").agg(F.collect_list("doc_id").alias("ids")).collect()}
+    found = [(r.a, r.b) for r in simhash_dedup.similar_links(df, part_bytes=part_bytes).collect()]
+    assert all((max(x, y), min(x, y)) in set(pairs) or x == y for a, b in found for x in names[a][:1] for y in names[b][:1])
+    same = [(ids[0], i) for ids in names.values() for i in ids]
+    got = least_reachable([(names[a][0], names[b][0]) for a, b in found] + same, range(len(texts)))
+    assert got == want
+    assert len(found) <= 24 * len(texts)  # at most one for each membership in a band
+
+
 def test_decontamination(spark):
     rng = np.random.default_rng(6)
     items = [[f"w{v}" for v in rng.integers(0, 12, n)] for n in (9, 14, 20, 30)]
