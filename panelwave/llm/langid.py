@@ -21,6 +21,7 @@ from panelwave.llm.common import whole_text
 
 UNKNOWN = "und"
 NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
+LETTER = regex.compile(r"\p{L}")
 #: Bytes of a text that are encoded at a time; all pieces count.
 PIECE = 8192
 
@@ -59,6 +60,9 @@ class LanguageModel:
 
 
 def letters(text: str | None) -> str:
+    """Letters and their marks with single spaces; empty without a letter."""
+    if not LETTER.search(text or ""):
+        return ""
     return NOT_LETTERS.sub(" ", (text or "").lower()).strip()
 
 
@@ -72,16 +76,14 @@ def learn(
     most_languages: int = 400,
 ) -> LanguageModel:
     """Dictionaries from a bounded sample: for each language the rows with the smallest hashes of the id, whole texts,
-    until ``dictionary_bytes`` are full. More than ``most_languages`` language values raise an error.
+    until ``dictionary_bytes`` are full. Only the ``most_languages`` values with most training rows get a dictionary.
     """
     text = F.regexp_replace(F.lower(whole_text(text_col)), r"[^\p{L}\p{M}]+", " ")
     rows = docs.where(training & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = rows.groupBy(F.col(lang_col).alias("lang")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.octet_length(text_col)).alias("mean")
     )
-    known = counts.orderBy(F.desc("n"), "lang").limit(most_languages + 1).collect()
-    if len(known) > most_languages:
-        raise ValueError(f"more than {most_languages} languages")
+    known = counts.orderBy(F.desc("n"), "lang").limit(most_languages).collect()
     if not known:
         return LanguageModel({})
     # A row enters the sample by its hash; the share is set so that a few times the wanted bytes are expected.

@@ -239,16 +239,23 @@ def read_blocks(file: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray,
             yield keys, flags, lengths, decoded(f.read(control), f.read(data), n)
 
 
-def digest(shards: DataFrame, order: np.ndarray) -> DataFrame:
-    """Reads the shards back: ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` of every document, from the files alone."""
+def read_ranks(folder: str) -> np.ndarray:
+    """The ids by rank, as unsigned 32-bit integers."""
+    source, path = file_system(f"{folder}/ranks")
+    with source.open_input_stream(path) as f:
+        return np.frombuffer(f.read(), "<u4")
+
+
+def digest(shards: DataFrame) -> DataFrame:
+    """Reads the shards and their ``ranks`` back: ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` of every document."""
     before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     placed = shards.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0))).select("shard", "file", "base")
-    table = order.astype("<u4")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, base in zip(batch.column("file").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 at, crc, n = base, 0, 0
+                table = read_ranks(file.rpartition("/")[0])
                 for keys, flags, lengths, ranks in read_blocks(file):
                     ids = table[ranks]
                     out = []
@@ -285,4 +292,4 @@ def token_files(
     encoded = encode(docs, tokenizer_path, end_id, id_col, text_col)
     order, total = rank_order(encoded)
     shards = write_files(encoded, folder or shared_folder(docs.sparkSession, "token-files"), order, total)
-    return digest(shards, order)
+    return digest(shards)

@@ -8,8 +8,9 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelwave.llm import cap_filters, decontaminate, simhash_dedup, token_files
+from panelwave.llm import cap_filters, decontaminate, langid, simhash_dedup, token_files
 from panelwave.llm.components import components
+from panelwave.llm.queries import tokenizer_path
 
 
 def least_reachable(links, nodes):
@@ -173,3 +174,26 @@ def test_coding_round_trip():
     for n in range(len(ranks) + 1):
         assert (token_files.decoded(*token_files.coded(ranks[:n]), n) == ranks[:n]).all()
     assert token_files.decoded(b"", b"", 0).size == 0
+
+
+def test_token_files_are_read_with_their_own_ranks(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "one two two"), (2, None), (3, "three")], "doc_id long, text string")
+    encoded = token_files.encode(docs, tokenizer_path(), 2, "doc_id", "text")
+    order, total = token_files.rank_order(encoded)
+    shards = token_files.write_files(encoded, str(tmp_path / "files"), order, total)
+    right = sorted(map(tuple, token_files.digest(shards).collect()))
+    assert (token_files.read_ranks(str(tmp_path / "files")) == order).all()
+    (tmp_path / "files" / "ranks").write_bytes(order[::-1].astype("<u4").tobytes())
+    wrong = sorted(map(tuple, token_files.digest(shards).collect()))
+    assert [r[:3] for r in wrong] == [r[:3] for r in right] and [r[3] for r in wrong] != [r[3] for r in right]
+
+
+def test_language_of_texts_without_a_letter_and_of_many_languages(spark):
+    names = [f"l{k:03d}" for k in range(420)]
+    rows = [(k, f"{n} w{n}x " * 3, n) for k, n in enumerate(names)] + [(1000 + k, f"{names[0]} again", names[0]) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.learn(docs, F.lit(True))
+    assert len(model.dictionaries) == 400 and names[0] in model.dictionaries
+    for text in ("́̂", "12 -- 3", "", None, "́ 7"):
+        assert model.predict(text) == ("und", 0.0, True)
+    assert model.predict("é")[0] != "und"
