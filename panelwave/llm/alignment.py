@@ -22,6 +22,7 @@ from __future__ import annotations
 import gc
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
@@ -44,6 +45,8 @@ ENCODE_BYTES = 256 << 10
 #: Windows that a worker remembers, and the longest of them in tokens of A; more are worked out anew.
 MEMO_WINDOWS = 300_000
 MEMO_TOKENS = 64
+#: Pairs that a worker has numbered before it starts anew with the next chunk.
+NUMBERED_PAIRS = 1_000_000
 #: Links of a group up to which they are listed one by one.
 SMALL_GROUP = 256
 #: Texts of these characters, whose classes no release of Unicode has changed, take the faster of two equal encoders.
@@ -120,8 +123,10 @@ class Window(NamedTuple):
     times: list[int] | None
 
 
-def cut_window(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> Window:
-    """Cuts one window, at whose end tokens of both end, where tokens of both end; sizes are by id."""
+def cut_window(a: list[int], b: list[int], size_a: list[int], size_b: list[int], numbers: dict[int, int]) -> Window:
+    """Cuts one window, at whose end tokens of both end, where tokens of both end; sizes are by id. Pairs (A's id in the
+    upper half) are given as the worker's ``numbers``, which grow with new pairs.
+    """
     texts, pairs, times = [], [], None
     i = j = links = 0
     while i < len(a):
@@ -157,7 +162,7 @@ def cut_window(a: list[int], b: list[int], size_a: list[int], size_b: list[int])
             pairs += ((x[:, None] << 32) | y).ravel().tolist()
             times += (n_x[:, None] * n_y).ravel().tolist()
         links += n
-    return Window(";".join(texts), len(texts), links, pairs, times)
+    return Window(";".join(texts), len(texts), links, [numbers.setdefault(p, len(numbers)) for p in pairs], times)
 
 
 def summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,6 +180,12 @@ class Aligner:
         self.a, self.vocabulary_a, self.ranked = byte_level(path_a)
         self.b, self.vocabulary_b = piece_level(path_b)
         self.memo: dict[int | tuple[bytes, bytes], Window] = {}
+        self.numbers: dict[int, int] = {}
+
+    def fresh(self) -> None:
+        """Forgets windows and pair numbers when the numbers have become many; only between chunks, which hold numbers."""
+        if len(self.numbers) >= NUMBERED_PAIRS:
+            self.memo, self.numbers = {}, {}
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of A and B for each text; none where they do not spell it.
@@ -194,7 +205,7 @@ class Aligner:
 
     def windows(self, ids_a: list[int], ids_b: list[int]) -> list[Window]:
         """The document's windows in order: cut where space-marked tokens of A and B start at the same byte."""
-        a, b = np.array(ids_a, np.uint32), np.array(ids_b, np.uint32)
+        a, b = (np.frombuffer(array("I", ids), np.uint32) for ids in (ids_a, ids_b))
         size_a, size_b = self.vocabulary_a.sizes[a], self.vocabulary_b.sizes[b]
         marked_a = np.flatnonzero(self.vocabulary_a.spaced[a])
         marked_b = np.flatnonzero(self.vocabulary_b.spaced[b])
@@ -214,7 +225,7 @@ class Aligner:
                 key = (bytes_a[4 * i : 4 * to_i], bytes_b[4 * j : 4 * to_j])
             window = memo.get(key)
             if window is None:
-                window = cut_window(ids_a[i:to_i], ids_b[j:to_j], self.vocabulary_a.by_id, self.vocabulary_b.by_id)
+                window = cut_window(ids_a[i:to_i], ids_b[j:to_j], self.vocabulary_a.by_id, self.vocabulary_b.by_id, self.numbers)
                 if to_i - i <= MEMO_TOKENS:
                     if len(memo) >= MEMO_WINDOWS:
                         memo.clear()
@@ -249,14 +260,17 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
 def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str, keep_groups: bool = False) -> DataFrame:
     """One row per document with what is known from itself, and one row per chunk with its pairs."""
 
-    def closed(chunk: int, rows: list[dict]) -> Iterator[pa.RecordBatch]:
+    def closed(chunk: int, rows: list[dict], align: Aligner) -> Iterator[pa.RecordBatch]:
         held = [r.pop("held") for r in rows]
-        pairs, at = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
-        ends = np.cumsum([len(p) for p, _ in held])
-        for row, (_, times), numbers in zip(rows, held, np.split(at, ends[:-1]), strict=True):
-            row |= {"chunk": chunk, "n_pairs": len(times), "pair_at": packed(numbers), "times": packed(times)}
-        if len(pairs):
-            rows.append({"chunk": chunk, "pairs": pairs, "docs": np.bincount(at, minlength=len(pairs))})
+        numbers = np.concatenate([p for p, _ in held])
+        docs_of = np.bincount(numbers, minlength=len(align.numbers))
+        here = docs_of > 0
+        place = np.cumsum(here) - 1  # the chunk's own numbers, in the order of the worker's
+        for row, (pairs, times) in zip(rows, held, strict=True):
+            row |= {"chunk": chunk, "n_pairs": len(times), "pair_at": packed(place[pairs]), "times": packed(times)}
+        if here.any():
+            known = np.fromiter(align.numbers, np.int64, len(align.numbers))
+            rows.append({"chunk": chunk, "pairs": known[here], "docs": docs_of[here]})
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,10 +297,12 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: st
                     })
                     size += len(text)
                 if size >= CHUNK_BYTES or len(rows) >= CHUNK_DOCS:
-                    yield from closed(chunk, rows)
+                    yield from closed(chunk, rows, align)
                     chunk, rows, size = chunk + 1, [], 0
+                    align.fresh()
         if rows:
-            yield from closed(chunk, rows)
+            yield from closed(chunk, rows, align)
+            align.fresh()
 
     schema = pa.schema([
         *[(n, pa.int64()) for n in ("chunk", "id", "n_a", "n_b", "n_groups", "n_links")], ("groups_sha256", pa.string()),
