@@ -182,7 +182,7 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = groups.groupBy("root", "id", "th").agg(F.count(F.lit(1)).alias("n"))
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th", "n")).alias("h"))
     of_id, of_text, times = fresh(docs, "_id", "_text", "_times")
-    heads = first.select(F.col("h.id").alias(of_id), F.col("h.th").alias(of_text), F.col("h.n").alias(times))
+    heads = stored(first.select(F.col("h.id").alias(of_id), F.col("h.th").alias(of_text), F.col("h.n").alias(times)), "simhash-heads")
     same = docs[id_col].cast("long").eqNullSafe(heads[of_id]) & (F.xxhash64(whole_text(text_col)) == heads[of_text])
     chosen = docs.join(heads, same)
     repeated = chosen.where(F.col(times) > 1).dropDuplicates([of_id, of_text])
@@ -265,15 +265,16 @@ def open_keys(members: DataFrame, roots: DataFrame, part_bytes: int) -> DataFram
     return placed.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
 
 
-def similar_links(
-    docs: DataFrame, text_col: str = "text", width: int = 5, least: float = 0.8, part_bytes: int = PART_BYTES
-) -> DataFrame:
+def similar_groups(
+    docs: DataFrame, text_col: str = "text", width: int = 5, least: float = 0.8, part_bytes: int = PART_BYTES, distinct: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Links ``a``, ``b`` between hashes of different texts that join all texts whose shingle sets have Jaccard similarity
-    ``least`` or more and agree in a band, without listing the pairs.
+    ``least`` or more and agree in a band, without listing the pairs; and the components they make, ``node`` and ``root``.
 
     Equal sets are one node. The first two bands come first: what they join needs no comparison in the other bands, where
     only keys with several components are looked into. A key whose sets outgrow a task is cut into parts, compared part
-    by part; then one node of each component of the key; and, if components remain, tiles of two parts.
+    by part; then one node of each component of the key; and, if components remain, tiles of two parts. ``distinct`` says
+    that no two rows have the same text, which saves the steps that would find them.
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,17 +299,19 @@ def similar_links(
     nodes = signed.groupBy("sh").agg(F.min("th").alias("node"))
     named = signed.join(nodes, "sh")
     equal = named.where("th <> node").select(F.col("th").alias("a"), F.col("node").alias("b"))
-    # Of several texts with one hash, one row.
-    each = named.where("th = node").dropDuplicates(["node"]).select("node", "n", F.posexplode("keys").alias("band", "key"))
+    once = named.where("th = node")
+    once = once if distinct else once.dropDuplicates(["node"])
+    each = once.select("node", "n", F.posexplode("keys").alias("band", "key"))
     each = stored(each, "minhash-bands")
     repeated = each.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1").select("key")
     members = stored(each.join(stored(repeated, "repeated-bands"), "key", "left_semi"), "band-members")
-    wanted = members.select(F.col("node").alias("th")).distinct()
-    chosen = source.join(wanted, "th", "left_semi").dropDuplicates(["th"])
+    wanted = stored(members.select(F.col("node").alias("th")).distinct(), "set-nodes")
+    chosen = source.join(wanted, "th", "left_semi")
+    chosen = chosen if distinct else chosen.dropDuplicates(["th"])
     known = stored(chosen.mapInArrow(sets, "node long, own array<long>"), "shingle-sets")
 
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
-    links = []
+    links = [stored(equal, "equal-sets")]
 
     def joined(more: DataFrame) -> DataFrame:
         links.append(stored(more, "similar-links"))
@@ -326,8 +329,8 @@ def similar_links(
         opened = open_keys(hot, roots, part_bytes)
         both = opened.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         both = both.withColumn("tile_i", F.least("part", "tile")).withColumn("tile_j", F.greatest("part", "tile"))
-        joined(compared(both, known, least, tiles=True))
-    return reduce(DataFrame.union, links, equal)
+        roots = joined(compared(both, known, least, tiles=True))
+    return reduce(DataFrame.union, links), roots
 
 
 def first_of_similar(
@@ -338,9 +341,10 @@ def first_of_similar(
     Of the texts that links join, the one with the smallest id stays; NULL ids come last.
     """
     once = stored(first_of_each(docs, id_col, text_col), "first-of-each")
-    roots = components(similar_links(once, text_col, width, least), "a", "b").toDF("th", "root")
+    roots = similar_groups(once, text_col, width, least, distinct=True)[1].toDF("th", "root")
     named = once.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(whole_text(text_col)).alias("th"))
     placed = stored(named.join(roots, "th"), "similar-groups")
     heads = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("h"))
     later = placed.join(heads, "root").where("th <> h.th").select(F.col("th").alias(of_text := fresh(docs, "_text")[0]))
+    later = stored(later, "similar-later")
     return once.join(later, F.xxhash64(whole_text(text_col)) == later[of_text], "left_anti")

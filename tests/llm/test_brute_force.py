@@ -134,11 +134,14 @@ def test_similar_links_join_what_pairs_join(spark, part_bytes):
     want = least_reachable(pairs, range(len(texts)))
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     names = {r.th: r.ids for r in df.selectExpr("xxhash64(text) AS th", "doc_id").groupBy("th").agg(F.collect_list("doc_id").alias("ids")).collect()}
-    found = [(r.a, r.b) for r in simhash_dedup.similar_links(df, part_bytes=part_bytes).collect()]
+    links, roots = simhash_dedup.similar_groups(df, part_bytes=part_bytes)
+    found = [(r.a, r.b) for r in links.collect()]
     assert all((max(x, y), min(x, y)) in set(pairs) or x == y for a, b in found for x in names[a][:1] for y in names[b][:1])
     same = [(ids[0], i) for ids in names.values() for i in ids]
     got = least_reachable([(names[a][0], names[b][0]) for a, b in found] + same, range(len(texts)))
     assert got == want
+    placed = {r.node: r.root for r in roots.collect()}
+    assert {i: min(j for n in names if placed.get(n, n) == placed.get(th, th) for j in names[n]) for th, ids in names.items() for i in ids} == want
     assert len(found) <= 24 * len(texts)  # at most one for each membership in a band
 
 
