@@ -255,7 +255,7 @@ def compared(rows: DataFrame, sets: DataFrame, least: float, tiles: bool = False
 
 
 def open_keys(members: DataFrame, roots: DataFrame, part_bytes: int) -> DataFrame:
-    """The members of keys that still hold several components, with their component and their part of the key.
+    """The members of keys that still hold several groups of joined nodes (``root``), with their group and part of the key.
 
     A key is cut into ``parts`` so that the sets of a part have about ``part_bytes``.
     """
@@ -313,24 +313,31 @@ def similar_groups(
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
     links = [stored(equal, "equal-sets")]
 
-    def joined(more: DataFrame) -> DataFrame:
+    def joined(more: DataFrame, whole: bool = False) -> DataFrame:
+        """Each linked node with its component or, unless ``whole``, its least neighbour: nodes with the same are joined."""
         links.append(stored(more, "similar-links"))
-        return stored(components(reduce(DataFrame.union, links), "a", "b"), "similar-roots")
+        every = reduce(DataFrame.union, links)
+        if whole:
+            return stored(components(every, "a", "b"), "similar-roots")
+        both = every.union(every.select("b", "a"))
+        return stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")), "similar-roots")
 
     for bands in (members.where("band < 2"), members):
         opened = open_keys(bands, roots, part_bytes)
         roots = joined(compared(opened, known, least))
     if not opened.where("parts > 1").isEmpty():
         hot = stored(opened.where("parts > 1").select("key", "node", "n"), "large-bands")
+        roots = stored(components(reduce(DataFrame.union, links), "a", "b"), "similar-roots")
         opened = open_keys(hot, roots, part_bytes)
         one = opened.groupBy("key", "root").agg(F.min("node").alias("node")).withColumn("part", F.lit(0))
         one = one.join(hot, ["key", "node"])
-        roots = joined(compared(open_keys(one.select("key", "node", "n"), roots, part_bytes), known, least))
+        roots = joined(compared(open_keys(one.select("key", "node", "n"), roots, part_bytes), known, least), whole=True)
         opened = open_keys(hot, roots, part_bytes)
         both = opened.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         both = both.withColumn("tile_i", F.least("part", "tile")).withColumn("tile_j", F.greatest("part", "tile"))
-        roots = joined(compared(both, known, least, tiles=True))
-    return reduce(DataFrame.union, links), roots
+        joined(compared(both, known, least, tiles=True))
+    every = reduce(DataFrame.union, links)
+    return every, components(every, "a", "b")
 
 
 def first_of_similar(
