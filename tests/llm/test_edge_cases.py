@@ -1,5 +1,6 @@
 """NULLs, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
+import time
 import zlib
 
 import numpy as np
@@ -163,6 +164,41 @@ def test_html_open_head(start):
     assert html_blocks.main_text(page) == "The text."
 
 
+STORY = "The story of the town is long and it was told by the people who lived in the valley. " * 4
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div>{STORY}</div><nav><p>{STORY}</p></nav>", STORY.strip()),
+        (f"<article><p>Card</p></article><div>{STORY}</div>", f"Card {STORY.strip()}"),
+        (f"<div>Short notice here</div><article><p>{STORY}</p></article>", STORY.strip()),
+        (f"<article><ul><li><a href=x>Home</a></li><li><a href=y>About</a></li></ul><h2>Head</h2><p>{STORY}</p>Bye.</article>", f"Head {STORY.strip()} Bye."),
+        (f"<article><h1><a href=x>Linked head</a></h1><p>{STORY}</p></article>", f"Linked head {STORY.strip()}"),
+        (f"<p>{STORY}</p><p>Between.</p><p>{STORY}</p><p>Home | About | Contact us</p>", f"{STORY}Between. {STORY.strip()}"),
+        (f"<p>{STORY}</p><p>Home | About | Contact us</p><p>Imprint</p>", STORY.strip()),
+        ("<article><p>Only a line.</p></article>", "Only a line."),
+        ("<p>Home</p><p>About</p>", ""),
+        ("<article>a &lt; b &amp; c<br>d <b>e</b>f</article>", "a < b & c d ef"),
+    ],
+)
+def test_html_rules(page, text):
+    assert html_blocks.main_text(page) == text
+
+
+def test_html_rules_decide_inside_articles():
+    blocks = html_blocks.blocks_of(f"<nav>Menu</nav><article><h1>Head</h1><p>{STORY}</p><p>{'xyz ' * 60}</p><p>End</p></article>")
+    html_blocks.classify(blocks)
+    assert [b.rule for b in blocks] == ["markup", "neighbours", "density", "length", "neighbours"]
+
+
+@pytest.mark.parametrize("part", ["<a", '<a "', "<a \"'>", "<b>", "</i>", "<", "<!--", "<p>", "<b><p>"])
+def test_html_reads_in_linear_time(part):
+    begin = time.process_time()
+    html_blocks.main_text(part * 100_000 + '"')
+    assert time.process_time() - begin < 15
+
+
 def test_vectors(spark):
     bad = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0])]
     good = [(9, [1.0, 0.0]), (8, [2.0, 0.0]), (10, [1.0, 0.0]), (10, [1.0, 0.0]), (11, [0.0, -1.0]), (12, [1.0, 0.0, 0.0]), (None, [0.0, -1.0])]
