@@ -95,15 +95,15 @@ def mix(
     block_words: int = BLOCK_WORDS,
     shards: int = SHARDS,
 ) -> DataFrame:
-    """``id_col``, ``size``, ``source_size``, ``target``, ``taken`` for every row.
+    """``id_col``, ``size``, ``source_size``, ``target``, ``taken``, ``shard_words`` for every row.
 
     ``taken`` counts the words that the selected blocks hold of the row, repeats included, at most ``most`` times its
-    size. NULL texts have size 0; NULL is a source of its own; rows that repeat an id and a text follow each other in
+    size; ``shard_words`` is the part of each shard, in order. NULL texts have size 0; NULL is a source of its own; rows that repeat an id and a text follow each other in
     the order. An empty table gives no rows. Reruns agree.
     """
     rows, bins = laid_out(docs, id_col, text_col, source_col, weights, share, most, seed, block_words, shards)
     return taken_of(rows, bins, most).select(
-        F.col("id").alias(id_col), "size", "source_size", "target", "taken", "source", "bin"
+        F.col("id").alias(id_col), "size", "source_size", "target", "taken", "shard_words", "source", "bin"
     )
 
 
@@ -124,25 +124,48 @@ def laid_out(
     bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     sizes = bins.groupBy("source").agg(F.sum("bin_size").alias("source_size"))
     aims = targets(sizes, weights, share, float(most))
-    taken = quotas(aims, shards, block_words).groupBy("rank").agg(F.sum("blocks").alias("blocks"))
-    aims = stored(aims.join(taken, "rank", "left"), "mix-targets")
-    limit = F.least(F.coalesce("blocks", F.lit(0)) * block_words, F.col("source_size") * most)
-    aims = aims.select("source", "source_size", "target", limit.alias("words"))
+    given = quotas(aims, shards, block_words).groupBy("rank").agg(F.array_sort(F.collect_list(F.struct("shard", "blocks"))).alias("given"))
+    aims = stored(aims.join(given, "rank", "left"), "mix-targets")
+    aims = aims.select("source", "source_size", "target", shard_ends(shards, block_words, most).alias("ends"))
+    aims = aims.withColumn("words", F.element_at("ends", -1))
     before = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
     bins = bins.withColumn("bin_before", F.coalesce(F.sum("bin_size").over(before), F.lit(0)))
     same = F.col("b.source").eqNullSafe(F.col("a.source"))
-    return rows, bins.alias("b").join(aims.alias("a"), same).select("b.*", "a.source_size", "a.target", "a.words")
+    return rows, bins.alias("b").join(aims.alias("a"), same).select(
+        "b.*", "a.source_size", "a.target", "a.words", "a.ends"
+    )
+
+
+def shard_ends(shards: int, block_words: int, most: int) -> Column:
+    """Words of a source up to the end of each shard: its quotas summed, at most ``most`` times the source."""
+
+    def end(shard: Column) -> Column:
+        upto = F.aggregate(F.slice("given", 1, shard), F.lit(0).cast("long"), lambda n, g: n + g["blocks"])
+        return F.least(F.coalesce(upto, F.lit(0)) * block_words, F.col("source_size") * most)
+
+    return F.transform(F.sequence(F.lit(1), F.lit(shards)), end)
 
 
 def taken_of(rows: DataFrame, bins: DataFrame, most: int) -> DataFrame:
-    """Adds the plan of its source and ``taken`` to every row of the groups ``bins``."""
+    """Adds the plan of its source, ``taken`` and ``shard_words`` to every row of the groups ``bins``.
+
+    The source's seeded order, passed ``most`` times, is cut at the ends of its shards.
+    """
     inside = W.partitionBy("source", "bin").orderBy("place", "size").rowsBetween(W.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     on = F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.bin") == F.col("b.bin"))
-    placed = rows.alias("r").join(bins.alias("b"), on).select("r.*", "b.source_size", "b.target", "b.words", "b.bin_before")
+    plan = ("source_size", "target", "words", "ends", "bin_before")
+    placed = rows.alias("r").join(bins.alias("b"), on).select("r.*", *[f"b.{c}" for c in plan])
     begin = F.col("before") + F.col("bin_before")
-    passes = [F.col("words") - F.col("source_size") * k - begin for k in range(most)]
-    return placed.withColumn("taken", sum(F.least(F.greatest(p, F.lit(0)), F.col("size")) for p in passes))
+
+    def upto(end: Column) -> Column:
+        """Words of the row before the place ``end`` of its source's passes."""
+        passes = [end - F.col("source_size") * k - begin for k in range(most)]
+        return sum((F.least(F.greatest(p, F.lit(0)), F.col("size")) for p in passes), F.lit(0))
+
+    placed = placed.withColumn("taken", upto(F.col("words")))
+    cut = F.transform("ends", lambda end, k: upto(end) - F.when(k > 0, upto(F.get("ends", k - 1))).otherwise(0))
+    return placed.withColumn("shard_words", cut)
 
 
 def mixed_documents(

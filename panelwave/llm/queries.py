@@ -68,8 +68,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document, in all and for each shard."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    by_shard = F.array_join(F.col("shard_words").cast("array<string>"), ",").alias("shard_words")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", by_shard)
 
 
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,12 +128,19 @@ a AS (SELECT *, CASE WHEN cap <= level * weight THEN cap
     ELSE weight * max(level) FILTER (WHERE cap > level * weight) OVER () END AS target FROM l),
 seats AS (SELECT rank, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, rank, k) AS place
   FROM a, generate_series(1, CAST(source_size // 16 + 2 AS BIGINT)) AS g(k) WHERE target > 0),
-blocks AS (SELECT rank, count(*) AS n FROM seats WHERE place <= (SELECT round(sum(target) / 32) FROM a) GROUP BY rank),
-plan AS (SELECT source, source_size, target, least(coalesce(n, 0) * 32, 2 * source_size) AS words FROM a LEFT JOIN blocks USING (rank)),
+houses AS (SELECT shard, round((SELECT round(sum(target) / 32) FROM a) * shard / 8) AS house FROM generate_series(1, 8) AS g(shard)),
+blocks AS (SELECT rank, shard, count(*) FILTER (place <= house) AS n FROM seats, houses GROUP BY rank, shard),
+ends AS (SELECT rank, shard, least(coalesce(n, 0) * 32, 2 * source_size) AS upto FROM a CROSS JOIN houses LEFT JOIN blocks USING (rank, shard)),
+plan AS (SELECT source, source_size, target, max(upto) AS words, list(upto ORDER BY shard) AS upto
+  FROM a JOIN ends USING (rank) GROUP BY ALL),
 laid AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-  CAST(least(greatest(words - before, 0), size) + least(greatest(words - source_size - before, 0), size) AS BIGINT) AS taken
+  CAST(least(greatest(words - before, 0), size) + least(greatest(words - source_size - before, 0), size) AS BIGINT) AS taken,
+  array_to_string(list_transform(range(1, 9), lambda j: CAST(
+    least(greatest(upto[j] - before, 0), size) + least(greatest(upto[j] - source_size - before, 0), size)
+    - least(greatest(coalesce(upto[j - 1], 0) - before, 0), size)
+    - least(greatest(coalesce(upto[j - 1], 0) - source_size - before, 0), size) AS BIGINT)), ',') AS shard_words
 FROM laid JOIN plan ON laid.source IS NOT DISTINCT FROM plan.source"""
 
 

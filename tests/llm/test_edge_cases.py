@@ -140,6 +140,26 @@ def test_mixing(docs):
     assert {r["taken"] for r in mixing.mix(docs.where("text is null")).collect()} == {0}
 
 
+def test_quotas_of_shards(spark):
+    """Each shard gets what the highest quotients give to the blocks up to its end, less what earlier shards got."""
+    aims = [(1, 900.0), (2, 300.0), (3, 410.0), (4, 0.0)]
+    rows = mixing.quotas(spark.createDataFrame(aims, "rank int, target double"), shards=5, block_words=10).collect()
+    total = sum(t for _, t in aims)
+    seats = sorted(((-t / (2 * k - 1), r, k) for r, t in aims if t for k in range(1, 300)))
+    seen = dict.fromkeys((r for r, _ in aims), 0)
+    for shard in range(1, 6):
+        house = int(int(total / 10 + 0.5) * shard / 5 + 0.5)
+        for rank in seen:
+            upto = sum(r == rank for _, r, _ in seats[:house])
+            assert [x["blocks"] for x in rows if (x["rank"], x["shard"]) == (rank, shard)] == [upto - seen[rank]]
+            seen[rank] = upto
+
+
+def test_shards_share_what_is_taken(spark, docs):
+    for r in mixing.mix(docs, shards=3, block_words=7).collect():
+        assert len(r["shard_words"]) == 3 and sum(r["shard_words"]) == r["taken"] and min(r["shard_words"]) >= 0
+
+
 def test_html(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (2, None, "<p>a<b>b</b> &amp; c"), (None, "u", "<a" * 5000)], "page_id long, url string, html string")
     pages = pages.select("*", F.lit(1).alias("text"), F.lit(2).alias("n_chars"))
