@@ -15,6 +15,7 @@ from panelwave.functions.codes import code_label, record_id
 from panelwave.functions.text import normalize_cell
 from panelwave.operators import checks as ck
 from panelwave.operators import population, quality
+from panelwave.operators.suite import type_with_marks
 from panelwave.sources.sinks import read_stage, write_periods
 from panelwave.spec import PanelSpec
 
@@ -146,3 +147,10 @@ def eligible_checks(eligible: DataFrame, spec: PanelSpec) -> DataFrame:
 def foundation(raw: DataFrame, spec: PanelSpec, provenance: tuple[str, ...]) -> Foundation:
     normalized = normalize(raw, spec, provenance)
     return Foundation(spec, normalized, quality.type_columns(normalized, spec.types, provenance))
+
+
+def marked_stage(raw: DataFrame, spec: PanelSpec, provenance: tuple[str, ...], path: str, row: str) -> DataFrame:
+    """The typed stage with marks of cells that did not fit, written by period and read back: input of the check suite."""
+    typed = type_with_marks(normalize(raw, spec, provenance), spec.types, provenance)
+    write_periods(typed, path, spec.period, row)
+    return read_stage(raw.sparkSession, path, *typed.columns)

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from panelwave.operators import checks as ck
 from panelwave.operators import evaluate
+from panelwave.operators.suite import suite
 from panelwave.operators.shape import one_row
 from panelwave.plans import household as preset
 from panelwave.plans.describe import Description
-from panelwave.plans.foundation import Foundation, foundation
+from panelwave.plans.foundation import Foundation, foundation, marked_stage
 from panelwave.plans.selection import FinalTest, evaluate_once, select_models
 from panelwave.session import scratch_dir
 from panelwave.sources.manifest import fingerprint
-from panelwave.workload.frames import household_raw, household_sql
+from panelwave.workload.frames import household_raw, household_sql, orders
 from panelwave.workload.profiles import summary_sql
 from panelwave.workload.registry import query, rounded
 
@@ -148,6 +149,52 @@ def household_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ck.summary(stage.checks())
 
 
+SETS = {"entrenamiento": TRAIN, "prueba": TEST}
+# Controls known from the orders alone; that of one period and the eligible rows of another are off on purpose.
+CONTROLS_SQL = """SELECT period AS scope, 'rows' AS measure, count(*) + CASE WHEN period = '1996T2' THEN 1 ELSE 0 END AS expected FROM o GROUP BY period
+UNION ALL SELECT period, concat('quarter ', CAST(CAST(substr(period, 6, 1) AS INT) + 1 AS STRING)), count(*) FROM o GROUP BY period
+UNION ALL SELECT period, 'missing P05D01', sum(CASE WHEN o_orderkey % 59 = 0 AND o_orderkey % 61 <> 0 THEN 1 ELSE 0 END) FROM o GROUP BY period
+UNION ALL SELECT 'entrenamiento', 'rows', count(*) FROM o WHERE substr(period, 1, 4) < '2000'
+UNION ALL SELECT 'prueba', 'rows', count(*) FROM o WHERE substr(period, 1, 4) = '2001'
+UNION ALL SELECT '1997T3', 'eligible', 5
+UNION ALL SELECT '1894T1', 'rows', 7"""
+
+
+def _suite_sql() -> str:
+    """Every measure of the suite by plain counting."""
+    inside = "coalesce(r1 AND r2 AND r3 AND r4 AND r5 AND r6, false)"
+    rows = {"rows": "true", "eligible": inside, "funnel": "false"}
+    for c in preset.TYPES:
+        rows[f"missing {c}"] = f"n.{c} IS NULL"
+        rows[f"unconvertible {c}"] = f"n.{c} IS NOT NULL AND t.{c} IS NULL"
+    rows |= {f"out of domain {c}": f"t.{c} NOT IN ({v})" for c, v in CODES.items()}
+    counted = [f"SELECT t.periodo_archivo AS scope, '{m}' AS measure, count(*) FILTER ({x}) AS observed FROM ruled t JOIN norm n USING (fila_origen) GROUP BY 1" for m, x in rows.items()]
+    kept = {f"unknown {c}": f"{c} = 'DESCONOCIDO'" for c in preset.CATEGORIES}
+    kept |= {f"NULL {c}": f"{c} IS NULL" for c in preset.SPEC.model_columns} | preset.VIOLATIONS
+    counted += [f"SELECT p.scope, '{m}', count(*) FILTER ({x}) FROM (SELECT DISTINCT periodo_archivo AS scope FROM typed) p LEFT JOIN eligible ON scope = periodo_archivo GROUP BY 1" for m, x in kept.items()]
+    counted += ["SELECT periodo_archivo, concat('quarter ', TRIMESTRE), count(*) FROM typed GROUP BY 1, 2"]
+    key = "concat_ws('_', NUM_HOGAR, NUM_PERSONA)"
+    counted += [f"SELECT periodo_archivo, '{m}', {x} FROM typed GROUP BY 1" for m, x in (
+        ("null keys", "count(*) FILTER (NUM_HOGAR IS NULL OR NUM_PERSONA IS NULL)"), ("surplus keys", f"count(*) - count(DISTINCT {key})"),
+        ("exact copies", "count(*) - count(DISTINCT (" + ", ".join(preset.TYPES) + "))"))]
+    sums = [f"SELECT '{n}', 'rows', count(*) FROM typed WHERE periodo_archivo IN {p}" for n, p in SETS.items()]
+    return f"""WITH {SQL}, o AS (SELECT *, concat(year(o_orderdate), 'T', quarter(o_orderdate)) AS period FROM orders),
+found AS ({" UNION ALL ".join([*counted, *sums])}), wanted AS ({CONTROLS_SQL}),
+b AS (SELECT scope, measure, coalesce(f.observed, 0) AS observed, w.expected FROM found f FULL JOIN wanted w USING (scope, measure)),
+e AS (SELECT scope, measure, observed, CAST(CASE WHEN measure = 'rows' THEN expected ELSE coalesce(expected, 0) END AS BIGINT) AS expected FROM b
+  WHERE expected IS NOT NULL OR NOT (measure = 'eligible' OR measure LIKE 'missing %'))
+SELECT *, CASE WHEN regexp_matches(measure, '^(missing|unconvertible|out of domain) ') THEN 'warn' ELSE 'error' END AS severity,
+  observed IS NOT DISTINCT FROM expected AS passed FROM e"""
+
+
+@query(_suite_sql())
+def household_controls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check of the stage next to the controls of its periods, from two scans of the stage."""
+    stage = marked_stage(household_raw(spark, sf_dir), preset.SPEC, preset.PROVENANCE, scratch_dir(spark, "marked"), "fila_origen")
+    wanted = spark.sql(f"WITH o AS (SELECT * FROM {{o}}) {CONTROLS_SQL}", o=orders(spark, sf_dir))
+    return suite(stage, preset.SPEC, wanted, SETS, "TRIMESTRE")
+
+
 @query()
 def household_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The K table, next to the number of eligible rows and of those left out for want of a measure."""
