@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from panelwave.functions import codes
 from panelwave.functions.text import normalize_cell
 from panelwave.operators import checks as ck
-from panelwave.operators import compare, population, quality, sampling
+from panelwave.operators import compare, drill, population, quality, sampling
+from panelwave.session import scratch_dir
 from panelwave.sources.controls import control_table, small_table
 from panelwave.spec import Control, Rule
 from panelwave.workload.frames import OBS_SQL, normal_sql, obs, orders, table, typed_sql
@@ -307,3 +308,24 @@ def random_split_promises(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.count(F.lit(1))
     near = F.abs(F.count_if(F.col("split") == "train") - n * 0.8) <= 5 * F.sqrt(n * 0.8 * 0.2)
     return both.agg(n.alias("rows"), F.count_distinct("o_orderkey").alias("keys"), near.alias("about_four_fifths"))
+
+
+@query("""WITH r AS (SELECT o_custkey AS person, nullif(o_orderstatus, 'P') AS status, sum(o_totalprice) AS total, CAST(count(*) AS DOUBLE) AS n
+  FROM orders GROUP BY 1, 2),
+s AS (SELECT person, status, total * CASE WHEN person % 100 = 7 AND status IS NULL THEN 1.5 ELSE 1 END AS total, n FROM r WHERE NOT (person % 100 = 11 AND status = 'F')),
+c AS (SELECT s.person, s.status, 'total' AS metric, s.total AS stored, r.total AS recomputed, 1 AS l FROM s JOIN r ON r.person = s.person AND r.status IS NOT DISTINCT FROM s.status
+  WHERE s.total <> r.total
+  UNION ALL SELECT person, status, unnest(['total', 'n']), NULL, unnest([total, n]), 0 FROM r WHERE person % 100 = 11 AND status = 'F')
+SELECT person, status, metric, round(stored, 2) AS stored, round(recomputed, 2) AS recomputed, CAST(l AS BIGINT) AS stored_rows, CAST(1 AS BIGINT) AS recomputed_rows FROM c""")
+def changed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored report with altered and lost groups, found again through the marks of its buckets."""
+    keys, values = ["person", "status"], ["total", "n"]
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("person"), F.expr("nullif(o_orderstatus, 'P')").alias("status"), "o_totalprice"
+    )
+    report = rows.groupBy(*keys).agg(F.sum("o_totalprice").alias("total"), F.count(F.lit(1)).cast("double").alias("n"))
+    altered = (F.col("person") % 100 == 7) & F.col("status").isNull()
+    lost = F.coalesce((F.col("person") % 100 == 11) & (F.col("status") == "F"), F.lit(False))
+    path = scratch_dir(spark, "report")
+    drill.store_report(report.where(~lost).withColumn("total", F.col("total") * F.when(altered, 1.5).otherwise(1.0)), path, keys, values)
+    return rounded(drill.changed_cells(path, report, keys, values), 2)
