@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,11 +103,15 @@ def join_on_id(frames: Sequence[DataFrame], key: str) -> DataFrame:
 def stored_against_recomputed(
     stored: DataFrame, again: DataFrame, keys: Sequence[str], values: Sequence[str], tolerance: float = 1e-6
 ) -> DataFrame:
-    """Report tables compared value by value: ``(keys, metric, stored, again, passed)``."""
+    """Report tables compared value by value: ``(keys, metric, stored, recomputed, passed)``; NULL groups meet."""
     cells = F.array(*[F.struct(F.lit(v).alias("metric"), F.col(v).cast("double").alias("value")) for v in values])
     a = stored.select(*keys, F.inline(cells)).withColumnRenamed("value", "stored")
     b = again.select(*keys, F.inline(cells)).withColumnRenamed("value", "recomputed")
-    return a.join(b, [*keys, "metric"], "full_outer").withColumn("passed", _same("stored", "recomputed", tolerance))
+    on = [*keys, "metric"]
+    same_key = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in on])
+    both = a.alias("a").join(b.alias("b"), same_key, "full_outer")
+    cells = both.select(*[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in on], "stored", "recomputed")
+    return cells.withColumn("passed", _same("stored", "recomputed", tolerance))
 
 
 def _same(left: str, right: str, tolerance: float) -> Column:

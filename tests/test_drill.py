@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelwave.operators import drill
+from panelwave.operators.compare import stored_against_recomputed
 
 KEYS, VALUES = ["g", "h"], ["x", "y"]
 SCHEMA = "g string, h int, x double, y double"
@@ -47,3 +48,10 @@ def test_empty_reports(spark, tmp_path):
     drill.store_report(empty, path, KEYS, VALUES)
     assert drill.changed_cells(path, empty, KEYS, VALUES).count() == 0
     assert drill.changed_cells(path, spark.createDataFrame(ROWS, SCHEMA), KEYS, VALUES).count() == 2 * (len(ROWS) - 1)
+
+
+def test_null_groups_of_reports_meet(spark):
+    a = spark.createDataFrame([("m", 1.0), (None, 2.0), ("only", 3.0)], "model string, rmse double")
+    b = spark.createDataFrame([("m", 1.0), (None, 2.5)], "model string, rmse double")
+    got = {r["model"]: (r["stored"], r["recomputed"], r["passed"]) for r in stored_against_recomputed(a, b, ["model"], ["rmse"]).collect()}
+    assert got == {"m": (1.0, 1.0, True), None: (2.0, 2.5, False), "only": (3.0, None, False)}
