@@ -48,9 +48,14 @@ def shingle_rows(df: DataFrame, words: str, widths: tuple[int, ...]) -> DataFram
 
 
 def own_shingles(df: DataFrame, words: str, width: int) -> DataFrame:
-    """``pos`` and ``h`` of all shingles of ``words``; up to ``width`` words are one shingle."""
-    short = [shingle_rows(df.where(F.size(words) == k), words, (k,)) for k in range(1, width)]
-    return reduce(DataFrame.union, short, shingle_rows(df, words, (width,)))
+    """``pos`` and ``h`` of all shingles of ``words``; up to ``width`` words are one shingle.
+
+    The hash of an array is that of its elements in turn, so ``h`` equals that of ``shingle_rows``.
+    """
+    last = F.greatest(F.size(words) - (width - 1), F.lit(1))
+    each = F.transform(F.sequence(F.lit(1), last), lambda k: F.xxhash64(F.slice(words, k, width)))
+    rest = [c for c in df.columns if c != words]
+    return df.where(F.size(words) > 0).select(*rest, F.posexplode(each).alias("pos", "h"))
 
 
 def simhash(rows: DataFrame, keys: list[str]) -> DataFrame:
