@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from panelwave.functions.numeric import close_to
 from panelwave.operators.shape import rows_from, struct
 from panelwave.sources.controls import small_table
+from panelwave.sources.keyed import KeyedStage, difference, group_sizes
 
 CHECK_SCHEMA = "suite string, check string, severity string, observed double, expected double, passed boolean"
 
@@ -160,6 +161,20 @@ def cluster_checks(suite: str, results: DataFrame, ks: Sequence[int], rows: int)
     )
 
 
+def assignment_checks(suite: str, assigned: KeyedStage, panel: KeyedStage, group: str, sizes: DataFrame) -> DataFrame:
+    """A stored assignment against its panel, in place: one row per key, no key too many or too few, sizes ``(group, rows)`` as reported."""
+    against = run_checks(
+        suite,
+        difference(assigned, panel),
+        [Check(f"assigned {c}", f"max({c})") for c in ("repeated", "orphans", "missing", "keyless")],
+    )
+    found = group_sizes(assigned, group).select(F.col(group).alias("_group"), F.col("rows").alias("_found"))
+    both = found.join(sizes, F.col("_group").eqNullSafe(F.col(group)), "full_outer")
+    named = F.concat(F.lit("size of "), F.coalesce(F.col("_group"), F.col(group)).cast("string"))
+    whole = [F.coalesce(c, F.lit(0)) for c in ("_found", "rows")]
+    return against.unionByName(check_rows(suite, both, F.coalesce(named, F.lit("size of no group")), whole[0] == whole[1], "error", *whole))
+
+
 def selection_checks(suite: str, results: DataFrame) -> DataFrame:
     """Per algorithm: MAE and RMSE coherent, one selection, and it has the least RMSE."""
     per_algorithm = results.groupBy("algorithm").agg(
