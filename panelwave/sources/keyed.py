@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: Distinct rows that a bucket is meant to hold.
 ROWS_PER_BUCKET = 4_000_000
 MOST_BUCKETS = 65_536
+#: Distinct rows of a bucket where the rows decide: one task holds a bucket of both stages while they meet.
+ROWS_PER_TASK = 500_000
 TIMES = "_times"
 
 
@@ -31,9 +33,9 @@ def _named() -> str:
     return f"keyed_{uuid.uuid4().hex}"
 
 
-def buckets_for(rows: int) -> int:
+def buckets_for(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
     """A power of two, so that stages of similar sizes mostly agree; it depends on the rows alone."""
-    wanted = max(1, -(-rows // ROWS_PER_BUCKET))
+    wanted = max(1, -(-rows // rows_per_bucket))
     return min(MOST_BUCKETS, 1 << (wanted - 1).bit_length())
 
 
@@ -49,7 +51,7 @@ def store_keyed(df: DataFrame, path: str, key: str, buckets: int | None = None)
     counted.write.parquet(f"{path}/counted")
     counted = spark.read.schema(counted.schema).parquet(f"{path}/counted")
     keyed = counted.where(F.col(key).isNotNull())
-    buckets = buckets or buckets_for(keyed.count())
+    buckets = buckets or buckets_for(keyed.count(), ROWS_PER_TASK)
     placed = keyed.repartition(buckets, key)
     placed.write.bucketBy(buckets, key).sortBy(key).option("path", f"{path}/rows").format("parquet").saveAsTable(_named())
     counted.where(F.col(key).isNull()).write.parquet(f"{path}/keyless")

@@ -56,3 +56,10 @@ def test_empty_stage_and_other_buckets(spark, tmp_path):
 
 def test_buckets_follow_rows():
     assert [buckets_for(n) for n in (0, 4_000_000, 4_000_001, 10**8, 10**12)] == [1, 1, 2, 32, 65_536]
+
+
+def test_a_task_holds_a_bounded_bucket(spark, tmp_path):
+    rows = spark.range(1_000_001).select("id", F.lit(1).alias("group"))
+    stage = store_keyed(rows, str(tmp_path / "a"), "id")
+    assert stage.buckets == 4
+    assert max(r[0] for r in stage.rows.groupBy(F.input_file_name()).count().select("count").collect()) < 500_000
