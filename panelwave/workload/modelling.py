@@ -294,7 +294,7 @@ def kmeans_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cluster_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = _cluster_input(spark, sf_dir)
     grid = segments.kmeans_grid(panel, "id", CLUSTER_COLUMNS)
-    assigned = segments.assign(panel, grid.standardizer, grid.models[grid.chosen])
+    assigned = sinks.write_stage(segments.assign(panel, grid.standardizer, grid.models[grid.chosen]), scratch_dir(spark, "clusters"))
     return segments.cluster_descriptions(assigned, ["target", *CLUSTER_COLUMNS], {"segment": {}, "status": {}})
 
 
