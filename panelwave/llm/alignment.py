@@ -4,9 +4,10 @@ A text with a space before it is encoded by a byte-level BPE (A) and, without th
 (B). Byte offsets at which a token of both ends cut the two sequences into groups; a token of A and one of B in the same
 group are linked. A pair of ids counts in every document that holds it linked.
 
-Both sequences are complete before they are compared. Where a space-marked token starts at the same byte in both, the
-tokens before it share an end there, and the document is cut into windows. A window is a pair of id tuples, mostly a word,
-and its groups and links are worked out once for each worker and looked up afterwards.
+Neither tokenizer has a token that goes on from another character into a space, and of B only runs of spaces hold one
+after their start. So tokens of both end before every single space between two characters that are no white space, and
+what stands between two such places is encoded the same alone and in its text. A text is cut there into segments, mostly
+words; tokens, groups and links of a segment are worked out once for each worker and looked up afterwards.
 
 Counting moves no document: rows are dealt to chunks of bounded text as they are read, each chunk numbers its own pairs,
 only these pairs (with how many of its documents hold each) are summed over the corpus, and they come back to the chunk
@@ -25,7 +26,6 @@ import re
 from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -42,9 +42,9 @@ CHUNK_BYTES = 32 << 20
 CHUNK_DOCS = 20_000
 #: Text bytes handed to the tokenizers at a time, if more than one text.
 ENCODE_BYTES = 256 << 10
-#: Windows that a worker remembers, and the longest of them in tokens of A; more are worked out anew.
-MEMO_WINDOWS = 300_000
-MEMO_TOKENS = 64
+#: Segments of the newer half of those that a worker remembers, and the longest of them in characters; others are worked out anew.
+MEMO_SEGMENTS = 200_000
+MEMO_CHARACTERS = 64
 #: Pairs that a worker has numbered before it starts anew with the next chunk.
 NUMBERED_PAIRS = 1_000_000
 #: Links of a group up to which they are listed one by one.
@@ -53,6 +53,9 @@ SMALL_GROUP = 256
 RANKED_CHARACTERS = 200_000
 SETTLED = re.compile(r"[\n\t\r -~\u00a0-\u024f\u2010-\u2027]*")
 
+#: A single space between two characters that are no white space.
+BREAK = re.compile(r" (?<=\S )(?=\S)")
+
 ENCODED = (
     "chunk long, id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, groups string, "
     "n_pairs int, pair_at binary, times binary, pairs array<long>, docs array<long>"
@@ -68,13 +71,11 @@ def byte_characters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Bytes of every id, their lengths, and whether they start with a space."""
+    """Bytes of every id and their lengths."""
 
     def __init__(self, pieces: list[bytes]):
         self.pieces = pieces
         self.by_id = [len(p) for p in pieces]
-        self.sizes = np.array(self.by_id, np.int64)
-        self.spaced = np.array([p[:1] == b" " for p in pieces])
 
     def spells(self, ids: list[int], text: bytes) -> bool:
         pieces = self.pieces
@@ -113,18 +114,19 @@ def piece_level(path: str):
     return model, Vocabulary(pieces)
 
 
-class Window(NamedTuple):
-    """Groups of one window as text, their number, the number of links, their pairs, and how often each is meant (None: once)."""
+class Segment(NamedTuple):
+    """Groups of one segment as text; its tokens of A and of B, its groups and links (four longs); the numbers of its pairs
+    (ints); and how often each is meant (longs, None: once).
+    """
 
     text: str
-    n_groups: int
-    links: int
-    pairs: list[int]
-    times: list[int] | None
+    counts: bytes
+    pairs: bytes
+    times: bytes | None
 
 
-def cut_window(a: list[int], b: list[int], size_a: list[int], size_b: list[int], numbers: dict[int, int]) -> Window:
-    """Cuts one window, at whose end tokens of both end, where tokens of both end; sizes are by id. Pairs (A's id in the
+def cut_segment(a: list[int], b: list[int], size_a: list[int], size_b: list[int], numbers: dict[int, int]) -> Segment:
+    """Cuts one segment, at whose end tokens of both end, where tokens of both end; sizes are by id. Pairs (A's id in the
     upper half) are given as the worker's ``numbers``, which grow with new pairs.
     """
     texts, pairs, times = [], [], None
@@ -149,7 +151,7 @@ def cut_window(a: list[int], b: list[int], size_a: list[int], size_b: list[int],
                 end_b += size_b[b[j]]
                 j += 1
         of_a, of_b = a[from_i:i], b[from_j:j]
-        texts.append(f"{','.join(map(str, of_a))}|{','.join(map(str, of_b))}")
+        texts.append(f"{str(of_a)[1:-1]}|{str(of_b)[1:-1]}".replace(" ", ""))
         n = len(of_a) * len(of_b)
         if n <= SMALL_GROUP:
             pairs += [x << 32 | y for x in of_a for y in of_b]
@@ -162,7 +164,9 @@ def cut_window(a: list[int], b: list[int], size_a: list[int], size_b: list[int],
             pairs += ((x[:, None] << 32) | y).ravel().tolist()
             times += (n_x[:, None] * n_y).ravel().tolist()
         links += n
-    return Window(";".join(texts), len(texts), links, [numbers.setdefault(p, len(numbers)) for p in pairs], times)
+    counts = array("q", (len(a), len(b), len(texts), links)).tobytes()
+    of_pairs = array("i", [numbers.setdefault(p, len(numbers)) for p in pairs]).tobytes()
+    return Segment(";".join(texts), counts, of_pairs, None if times is None else array("q", times).tobytes())
 
 
 def summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,18 +178,20 @@ def summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Aligner:
-    """Aligns documents by remembered windows."""
+    """Aligns documents by remembered segments."""
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.vocabulary_a, self.ranked = byte_level(path_a)
         self.b, self.vocabulary_b = piece_level(path_b)
-        self.memo: dict[int | tuple[bytes, bytes], Window] = {}
+        #: Segments by their text, False where A or B does not spell it: those used of late, and those before them.
+        self.memo: dict[str, Segment | bool] = {}
+        self.older: dict[str, Segment | bool] = {}
         self.numbers: dict[int, int] = {}
 
     def fresh(self) -> None:
-        """Forgets windows and pair numbers when the numbers have become many; only between chunks, which hold numbers."""
+        """Forgets segments and pair numbers when the numbers have become many; only between chunks, which hold numbers."""
         if len(self.numbers) >= NUMBERED_PAIRS:
-            self.memo, self.numbers = {}, {}
+            self.memo, self.older, self.numbers = {}, {}, {}
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of A and B for each text; none where they do not spell it.
@@ -203,35 +209,28 @@ class Aligner:
                 a = self.a.encode(f" {text}", add_special_tokens=False).ids
                 yield (a, b) if self.vocabulary_a.spells(a, whole) else ([], [])
 
-    def windows(self, ids_a: list[int], ids_b: list[int]) -> list[Window]:
-        """The document's windows in order: cut where space-marked tokens of A and B start at the same byte."""
-        a, b = (np.frombuffer(array("I", ids), np.uint32) for ids in (ids_a, ids_b))
-        size_a, size_b = self.vocabulary_a.sizes[a], self.vocabulary_b.sizes[b]
-        marked_a = np.flatnonzero(self.vocabulary_a.spaced[a])
-        marked_b = np.flatnonzero(self.vocabulary_b.spaced[b])
-        start_a = (np.cumsum(size_a) - size_a)[marked_a]
-        start_b = (np.cumsum(size_b) - size_b)[marked_b]
-        at = np.searchsorted(start_b, start_a)
-        shared = np.flatnonzero(start_b[np.minimum(at, len(start_b) - 1)] == start_a) if len(start_b) else at[:0]
-        cut_a, cut_b = marked_a[shared], marked_b[at[shared]]
-        inner = cut_a > 0
-        cut_a = [0, *cut_a[inner].tolist(), len(a)]
-        cut_b = [0, *cut_b[inner].tolist(), len(b)]
-        bytes_a, bytes_b, memo, out = a.tobytes(), b.tobytes(), self.memo, []
-        for i, to_i, j, to_j in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False):
-            if to_i - i == 1 == to_j - j:
-                key = ids_a[i] << 32 | ids_b[j]  # one id of each
+    def segments(self, texts: list[str]) -> list[list[Segment]]:
+        """The segments of each text in order; none where A or B does not spell it."""
+        cut = [BREAK.split(text) if text else [] for text in texts]
+        memo, older = self.memo, self.older
+        found = [list(map(memo.get, words)) for words in cut]
+        missing = {word for words, of in zip(cut, found, strict=True) if None in of for word, s in zip(words, of, strict=True) if s is None}
+        wanted = []
+        for word in missing:
+            if word in older:
+                memo[word] = older[word]
             else:
-                key = (bytes_a[4 * i : 4 * to_i], bytes_b[4 * j : 4 * to_j])
-            window = memo.get(key)
-            if window is None:
-                window = cut_window(ids_a[i:to_i], ids_b[j:to_j], self.vocabulary_a.by_id, self.vocabulary_b.by_id, self.numbers)
-                if to_i - i <= MEMO_TOKENS:
-                    if len(memo) >= MEMO_WINDOWS:
-                        memo.clear()
-                    memo[key] = window
-            out.append(window)
-        return out
+                wanted.append(word)
+        size_a, size_b = self.vocabulary_a.by_id, self.vocabulary_b.by_id
+        for word, (a, b) in zip(wanted, self.encode(wanted), strict=True):
+            memo[word] = cut_segment(a, b, size_a, size_b, self.numbers) if a else False
+        found = [list(map(memo.get, words)) if None in of else of for words, of in zip(cut, found, strict=True)]
+        for word in wanted:
+            if len(word) > MEMO_CHARACTERS:
+                del memo[word]
+        if len(memo) >= MEMO_SEGMENTS:
+            self.memo, self.older = {}, memo
+        return [[] if False in of else of for of in found]
 
 
 @lru_cache(maxsize=1)
@@ -239,13 +238,13 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-def document_links(pairs: Sequence[list[int]], times: Sequence[list[int] | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs of a document's windows and how often it holds each."""
-    every = np.fromiter(chain.from_iterable(pairs), np.int64)
+def document_links(pairs: Sequence[bytes], times: Sequence[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of a document's segments and how often it holds each."""
+    every = np.frombuffer(b"".join(pairs), np.int32)
     if not any(times):
         return np.unique(every, return_counts=True)
-    of = [t or [1] * len(p) for p, t in zip(pairs, times, strict=True)]
-    return summed(every, np.fromiter(chain.from_iterable(of), np.int64))
+    of = [np.frombuffer(t, np.int64) if t else np.ones(len(p) // 4, np.int64) for t, p in zip(times, pairs, strict=True)]
+    return summed(every, np.concatenate(of))
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -274,7 +273,7 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: st
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # no cycles arise, and remembered windows need no scan
+        gc.disable()  # no cycles arise, and remembered segments need no scan
         try:
             yield from chunks_of(batches)
         finally:
@@ -286,14 +285,15 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: st
         chunk, rows, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             for ids, texts in portions(batch):
-                for i, text, (a, b) in zip(ids, texts, align.encode(texts), strict=True):
-                    texts_of, n_groups, links, pairs, times = zip(*align.windows(a, b), strict=True) if a else ((),) * 5
+                for i, text, own in zip(ids, texts, align.segments(texts), strict=True):
+                    texts_of, counts, pairs, times = zip(*own, strict=True) if own else ((),) * 4
                     groups = ";".join(texts_of)
+                    n_a, n_b, n_groups, n_links = np.frombuffer(b"".join(counts), np.int64).reshape(-1, 4).sum(axis=0).tolist()
                     rows.append({
-                        "id": i, "n_a": len(a), "n_b": len(b), "n_groups": sum(n_groups), "n_links": sum(links),
+                        "id": i, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links,
                         "groups": groups if keep_groups else None,
-                        "groups_sha256": hashlib.sha256(groups.encode()).hexdigest() if a else "",
-                        "held": document_links(pairs, times) if a else (none, none),
+                        "groups_sha256": hashlib.sha256(groups.encode()).hexdigest() if own else "",
+                        "held": document_links(pairs, times) if own else (none, none),
                     })
                     size += len(text)
                 if size >= CHUNK_BYTES or len(rows) >= CHUNK_DOCS:

@@ -105,3 +105,23 @@ def test_both_encoders_of_a_agree():
         assert aligner.ranked.encode_ordinary(text) == aligner.a.encode(text, add_special_tokens=False).ids
     for text in ("a" * 5000, " " * 3000, "ab " * 900, "\n\n \n" * 500, "é" * 999, "<|endoftext|>" * 50):
         assert aligner.ranked.encode_ordinary(text) == aligner.a.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_encoded_once_and_as_in_their_texts(monkeypatch):
+    aligner = alignment.Aligner(tokenizer_path(A), tokenizer_path(B))
+    given, encode = [], aligner.encode
+    monkeypatch.setattr(aligner, "encode", lambda texts: encode(given.append(list(texts)) or texts))
+    for texts in (["alpha beta alpha", "beta alpha"], ["beta beta"]):
+        aligner.segments(texts)
+    assert sorted(w for words in given for w in words) == ["alpha", "beta"]
+
+    rng = np.random.default_rng(11)
+    letters = list(" " * 12 + "aabcst'\u2019\u00e9\u6771\n\t\u00a0\u2003\u258115.,=<|>\x1c\x85\u3000\u0301\U0001f600") + ["'s", "<s>", "<|endoftext|>"]
+    texts = ["".join(rng.choice(letters, rng.integers(1, 16))) for _ in range(5000)]
+    for text, own in zip(texts, aligner.segments(texts), strict=True):
+        ((a, b),) = encode([text])
+        digest = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups_of(
+            [(i, aligner.vocabulary_a.pieces[i]) for i in a], [(i, aligner.vocabulary_b.pieces[i]) for i in b]
+        ))
+        assert ";".join(s.text for s in own) == digest
+        assert sum(np.frombuffer(s.counts, np.int64)[0] for s in own) == len(a)
