@@ -292,10 +292,12 @@ def kmeans_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def cluster_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size, statistics, centre, composition and description of every cluster, by the median of the target."""
     panel = _cluster_input(spark, sf_dir)
     grid = segments.kmeans_grid(panel, "id", CLUSTER_COLUMNS)
     assigned = sinks.write_stage(segments.assign(panel, grid.standardizer, grid.models[grid.chosen]), scratch_dir(spark, "clusters"))
-    return segments.cluster_descriptions(assigned, ["target", *CLUSTER_COLUMNS], {"segment": {}, "status": {}})
+    centers = segments.centroids(spark, grid.standardizer, grid.models[grid.chosen], CLUSTER_COLUMNS)
+    return segments.cluster_report(assigned, CLUSTER_COLUMNS, {"segment": {}, "status": {}}, "target", centers)
 
 
 @query()
