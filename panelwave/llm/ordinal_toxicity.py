@@ -28,8 +28,10 @@ PREFIXES = (5, 6, 7, 8)
 LEAST_GAIN = 10.0
 #: Words whose weight a task remembers.
 CACHE_WORDS = 400_000
-#: Bytes of training rows, reduced to the chosen features, whose gradient one task sums.
+#: Bytes of training rows, reduced to the chosen features, whose gradient is summed at a time.
 PART_BYTES = 8 << 20
+#: Tasks that share these parts; each sends one sum a step to the driver.
+TASKS = 128
 
 
 def features_of(word: str) -> list[int]:
@@ -76,7 +78,7 @@ class OrdinalModel:
 
 @dataclass
 class Rows:
-    """Some training rows: how many chosen features each has, these (``column``, 16 bits; ``value``, 32 bits) row by row,
+    """Some training rows: how many chosen features each has, these (``column`` and ``value``, 32 bits each) row by row,
     the grades and the weights. They go to a task in every step, so they are kept small.
     """
 
@@ -110,11 +112,24 @@ def rows_of(cells: Iterable[tuple], median: float, weights: tuple[float, float])
     label, density, places, x = list(zip(*cells, strict=True)) or [()] * 4
     label = np.array(label, np.int64)
     grade = np.where(label == 1, 1 + (np.array(density) > median), 0)
-    sizes = np.array([len(p) // 2 for p in places], np.int32)
-    column, value = np.frombuffer(b"".join(places), "<i2"), np.frombuffer(b"".join(x), "<f4")
+    sizes = np.array([len(p) // 4 for p in places], np.int32)
+    column, value = np.frombuffer(b"".join(places), "<i4"), np.frombuffer(b"".join(x), "<f4")
     return Rows(sizes, column, value, grade, np.array(weights)[label])
 
 
+def parts_of(cells: Iterable[tuple], median: float, weights: tuple[float, float], part_bytes: int) -> Iterator[Rows]:
+    """``rows_of`` for rows of about ``part_bytes`` at a time."""
+    held, size = [], 0
+    for cell in cells:
+        held.append(cell)
+        size += len(cell[2]) + len(cell[3]) + 24
+        if size >= part_bytes:
+            yield rows_of(held, median, weights)
+            held, size = [], 0
+    if held:
+        yield rows_of(held, median, weights)
+
+
 def fit_ordinal(
     gradient: Callable[[np.ndarray, np.ndarray], np.ndarray], rates: list[float], n_columns: int, steps: int = 300
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -170,8 +185,8 @@ def feature_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def chosen_features(counts: DataFrame, n_pos: int, n_neg: int, most: int) -> list[tuple[int, bool]]:
-    """The features with the largest gains, at least ``LEAST_GAIN``, in their order, and whether each tells of toxic rows."""
+def chosen_features(counts: DataFrame, n_pos: int, n_neg: int) -> list[tuple[int, bool]]:
+    """All features that gain at least ``LEAST_GAIN``, in their order, and whether each tells of toxic rows."""
     rate_pos, rate_neg = (F.col("pos") + 0.5) / (n_pos + 1), (F.col("neg") + 0.5) / (n_neg + 1)
     rate = (F.col("pos") + F.col("neg") + 1) / (n_pos + n_neg + 2)
 
@@ -180,13 +195,13 @@ def chosen_features(counts: DataFrame, n_pos: int, n_neg: int, most: int) -> lis
 
     # Below LEAST_GAIN chance alone picks features: there are some millions to pick from.
     gains = counts.where("pos + neg >= 3").withColumn("gain", part(n_pos, rate_pos) + part(n_neg, rate_neg))
-    best = gains.where(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "feature").limit(most)
+    best = gains.where(F.col("gain") >= LEAST_GAIN)
     telling = (rate_pos > 4 * rate_neg) & (F.col("gain") > 4)
     return sorted((r[0], r[1]) for r in best.select("feature", telling).collect())
 
 
 def chosen_cells(texts: DataFrame, chosen: list[tuple[int, bool]]) -> DataFrame:
-    """``id``, ``label``, and the chosen features of every text: their places in ``chosen`` (16 bits each), the values
+    """``id``, ``label``, and the chosen features of every text: their places in ``chosen`` and the values
     ``x`` (32 bits each), and ``density``, the values of the telling ones summed.
     """
     place = {feature: k for k, (feature, _) in enumerate(chosen)}
@@ -206,7 +221,7 @@ def chosen_cells(texts: DataFrame, chosen: list[tuple[int, bool]]) -> DataFrame:
                         of = known[word] = tuple(place[f] for f in features_of(word) if f in place)
                     for k in of:
                         x[k] = x.get(k, 0.0) + float(np.log1p(n))
-                at, value = np.fromiter(x, "<i2", len(x)), np.fromiter(x.values(), "<f4", len(x))
+                at, value = np.fromiter(x, "<i4", len(x)), np.fromiter(x.values(), "<f4", len(x))
                 places.append(at.tobytes())
                 values.append(value.tobytes())
                 density.append(float((value.astype(float) * telling[at]).sum()))
@@ -224,17 +239,16 @@ def learn(
     label_col: str = "toxic",
     id_col: str = "doc_id",
     text_col: str = "text",
-    most_features: int = 4096,
     part_bytes: int = PART_BYTES,
 ) -> OrdinalModel | None:
     """Fits on all labelled rows that ``training`` holds for, weighted by the labels' own numbers of rows.
 
     The label marks toxic rows. Severity grades them: grade 1, or 2 where the telling features occur more often than in
-    the median toxic row. Features are chosen by their gain over all rows. None where one of the values has no row.
+    the median toxic row. Features are chosen by their gain over all rows, as many as gain enough. None where one of the values has no row.
 
     Rows with a NULL id or label are no training rows. Texts are read twice, to count features and to keep the chosen
-    ones. Every step of the fit sums the gradients of parts of ``part_bytes``, each in a task; a single part is summed
-    on the driver.
+    ones. Every step of the fit sums the gradients of parts of ``part_bytes`` in at most ``TASKS`` tasks; a single part is
+    summed on the driver.
     """
     known = labels.where(F.col(id_col).isNotNull() & training)
     totals = {r[0]: r[1] for r in known.groupBy(F.col(label_col).cast("int")).count().collect()}
@@ -245,7 +259,7 @@ def learn(
     rows = {r[0]: r[1] for r in texts.groupBy("label").count().collect()}
     if len(rows) < 2:
         return None
-    chosen = chosen_features(feature_counts(texts), rows[1], rows[0], most_features)
+    chosen = chosen_features(feature_counts(texts), rows[1], rows[0])
     if not chosen:
         return None
     cells = stored(chosen_cells(texts, chosen), "training-cells")
@@ -265,12 +279,12 @@ def learn(
         gradient = rows_of([tuple(r)[1:] for r in own], median, weights).gradient
         w, t = fit_ordinal(gradient, rates, len(chosen))
     else:
-        dealt = cells.repartition(parts, "id").sortWithinPartitions(*order).drop("id")
-        held = dealt.rdd.mapPartitions(lambda some: [rows_of(some, median, weights)]).persist(StorageLevel.MEMORY_AND_DISK)
+        dealt = cells.repartition(min(parts, TASKS), "id").sortWithinPartitions(*order).drop("id")
+        held = dealt.rdd.mapPartitions(lambda some: parts_of(some, median, weights, part_bytes)).persist(StorageLevel.MEMORY_AND_DISK)
 
         def gradient(w: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-            # A part's sum has as many numbers as there are features; in the order of the parts, so that reruns agree.
-            return sum(held.map(lambda part: part.gradient(w, cuts)).collect())
+            # A task's sum has as many numbers as there are features; in the order of the tasks, so that reruns agree.
+            return sum(held.mapPartitions(lambda some: [sum(part.gradient(w, cuts) for part in some)]).collect())
 
         w, t = fit_ordinal(gradient, rates, len(chosen))
         held.unpersist()

@@ -1,11 +1,13 @@
 """The toxicity fit learns from every labelled row, in one part or in many."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from panelwave.llm import ordinal_toxicity
 from panelwave.llm.common import labelled_sample
 
@@ -45,3 +47,30 @@ def test_parts_give_the_model_of_one_part(spark):
     assert one.features.tolist() == many.features.tolist()
     assert many.weights == pytest.approx(one.weights, abs=1e-6)
     assert many.thresholds == pytest.approx(one.thresholds, abs=1e-6)
+
+
+def test_every_telling_feature_is_learned(spark):
+    """Each of the 1,500 words that tell of toxic rows has four features."""
+    rng = random.Random(8)
+    vile = ["".join(rng.choices("abcdefghijklm", k=8)) for _ in range(1500)]
+    plain = ["".join(rng.choices("nopqrstuvwxyz", k=8)) for _ in range(40)]
+    rows = [" ".join(vile) if i % 2 else " ".join(rng.choices(plain, k=30)) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    model = ordinal_toxicity.learn(docs, labels, F.lit(True))
+    telling = {f for word in vile for f in ordinal_toxicity.features_of(word)}
+    # A few share their number with a feature of the plain words.
+    assert len(telling) > 5500 and len(telling - set(model.features.tolist())) < 10
+
+
+def test_the_pipeline_learns_from_all_labels(spark, tmp_path):
+    """Toxic rows whose ids lie in the fold that ``op8_toxicity`` holds out."""
+    fold = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 == 0][:40]
+    toxic = set(fold)
+    rows = [(i, "zorgle blarnak vexitor " * 3 if i in toxic else f"some plain words here {i % 7}") for i in range(400)]
+    rows += [(i, "zorgle blarnak vexitor " * 3) for i in fold if i >= 400]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i, _ in rows], "doc_id long, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    kept = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [i for i, _ in rows if i not in toxic]
