@@ -78,7 +78,7 @@ class OrdinalModel:
 
 @dataclass
 class Rows:
-    """Some training rows: how many chosen features each has, these (``column`` and ``value``, 32 bits each) row by row,
+    """Some training rows: how many chosen features each has, these (``column``, 16 bits or 32; ``value``, 32 bits) row by row,
     the grades and the weights. They go to a task in every step, so they are kept small.
     """
 
@@ -93,14 +93,16 @@ class Rows:
         n, levels = len(self.grade), len(cuts)
         edge = np.concatenate([[-np.inf], cuts, [np.inf]])
         grade, share = self.grade, self.share
-        row, column, value = np.repeat(np.arange(n), self.sizes), self.column.astype(np.int64), self.value.astype(float)
-        margin = np.bincount(row, weights=value * w[column], minlength=n)
+        column, value, some = self.column.astype(np.intp), self.value.astype(float), self.sizes > 0
+        margin = np.zeros(n)
+        if some.any():
+            margin[some] = np.add.reduceat(value * w[column], (np.cumsum(self.sizes) - self.sizes)[some])
         low, high = edge[grade] - margin, edge[grade + 1] - margin
         p_low, p_high = 1 / (1 + np.exp(-np.clip(low, -40, 40))), 1 / (1 + np.exp(-np.clip(high, -40, 40)))
         p_low[grade == 0], p_high[grade == levels] = 0, 1
         p = np.maximum(p_high - p_low, 1e-12)
         d_low, d_high = p_low * (1 - p_low) / p * share, p_high * (1 - p_high) / p * share
-        g_w = np.bincount(column, weights=(d_high - d_low)[row] * value, minlength=len(w))
+        g_w = np.bincount(column, weights=np.repeat(d_high - d_low, self.sizes) * value, minlength=len(w))
         d_cut = np.zeros(levels)
         np.add.at(d_cut, np.minimum(grade, levels - 1), np.where(grade < levels, -d_high, 0))
         np.add.at(d_cut, np.maximum(grade - 1, 0), np.where(grade > 0, d_low, 0))
@@ -112,8 +114,9 @@ def rows_of(cells: Iterable[tuple], median: float, weights: tuple[float, float])
     label, density, places, x = list(zip(*cells, strict=True)) or [()] * 4
     label = np.array(label, np.int64)
     grade = np.where(label == 1, 1 + (np.array(density) > median), 0)
-    sizes = np.array([len(p) // 4 for p in places], np.int32)
-    column, value = np.frombuffer(b"".join(places), "<i4"), np.frombuffer(b"".join(x), "<f4")
+    sizes = np.array([len(v) // 4 for v in x], np.int64)
+    at = b"".join(places)
+    column, value = np.frombuffer(at, "<u2" if len(at) == 2 * sizes.sum() else "<u4"), np.frombuffer(b"".join(x), "<f4")
     return Rows(sizes, column, value, grade, np.array(weights)[label])
 
 
@@ -201,11 +204,12 @@ def chosen_features(counts: DataFrame, n_pos: int, n_neg: int) -> list[tuple[int
 
 
 def chosen_cells(texts: DataFrame, chosen: list[tuple[int, bool]]) -> DataFrame:
-    """``id``, ``label``, and the chosen features of every text: their places in ``chosen`` and the values
+    """``id``, ``label``, and the chosen features of every text: their places in ``chosen`` (16 bits each where these suffice, else 32), the values
     ``x`` (32 bits each), and ``density``, the values of the telling ones summed.
     """
     place = {feature: k for k, (feature, _) in enumerate(chosen)}
     telling = np.array([t for _, t in chosen])
+    kind = "<u2" if len(chosen) <= 1 << 16 else "<u4"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
@@ -221,7 +225,7 @@ def chosen_cells(texts: DataFrame, chosen: list[tuple[int, bool]]) -> DataFrame:
                         of = known[word] = tuple(place[f] for f in features_of(word) if f in place)
                     for k in of:
                         x[k] = x.get(k, 0.0) + float(np.log1p(n))
-                at, value = np.fromiter(x, "<i4", len(x)), np.fromiter(x.values(), "<f4", len(x))
+                at, value = np.fromiter(x, kind, len(x)), np.fromiter(x.values(), "<f4", len(x))
                 places.append(at.tobytes())
                 values.append(value.tobytes())
                 density.append(float((value.astype(float) * telling[at]).sum()))
